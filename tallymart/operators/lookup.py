@@ -1,0 +1,19 @@
+"""Attaching small dimensions."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+MAX_ROWS = 50_000
+
+
+def lookup(df: DataFrame) -> DataFrame:
+    """``df`` marked for broadcast if it is counted to be small, else unchanged.
+
+    The count stops at the bound.  A dimension beyond it is joined like any
+    other table, and AQE picks the strategy from the sizes it measures.
+    """
+    if df.limit(MAX_ROWS + 1).count() <= MAX_ROWS:
+        return F.broadcast(df)
+    return df

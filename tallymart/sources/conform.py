@@ -60,10 +60,13 @@ class ConformedStar(Star):
     def __init__(self, spark: SparkSession, path: str):
         self._spark = spark
         self._path = path
+        self._files: dict[str, DataFrame] = {}
         super().__init__({t: getattr(self, f"_{t}") for t in schema.TABLES})
 
     def _read(self, name: str) -> DataFrame:
-        return self._spark.read.parquet(os.path.join(self._path, f"{name}.parquet"))
+        if name not in self._files:
+            self._files[name] = self._spark.read.parquet(os.path.join(self._path, f"{name}.parquet"))
+        return self._files[name]
 
     @cached_property
     def _rep_count(self) -> Column:
@@ -257,6 +260,7 @@ class ConformedStar(Star):
             )
         )
 
+    @cached_property
     def _undated_lines(self) -> DataFrame:
         """Lines without their date, which is the order's."""
         gross = F.col("l_extendedprice").cast(MONEY)
@@ -279,9 +283,10 @@ class ConformedStar(Star):
         return self["fact_sales_orders"].select("order_id", "order_date")
 
     def _fact_order_line_items(self) -> DataFrame:
-        dated = self._undated_lines().join(self._order_dates(), "order_id")
+        dated = self._undated_lines.join(self._order_dates(), "order_id")
         return dated.withColumnRenamed("order_date", "line_date").select(*schema.columns_of("fact_order_line_items"))
 
+    @cached_property
     def _undated_returns(self) -> DataFrame:
         n = F.col("quantity")
         returned = (
@@ -291,7 +296,7 @@ class ConformedStar(Star):
         )
         credit = (returned * F.col("unit_price") * (1 - F.col("discount"))).cast(MONEY)
         return (
-            self._undated_lines()
+            self._undated_lines
             .filter(F.col("return_flag") == "R")
             .select(
                 F.col("line_item_id").alias("return_id"),
@@ -305,7 +310,7 @@ class ConformedStar(Star):
         )
 
     def _fact_returns(self) -> DataFrame:
-        dated = self._undated_returns().join(self._order_dates(), "order_id")
+        dated = self._undated_returns.join(self._order_dates(), "order_id")
         return dated.withColumnRenamed("order_date", "return_date").select(*schema.columns_of("fact_returns"))
 
     def _fact_quotas(self) -> DataFrame:
@@ -331,19 +336,19 @@ class ConformedStar(Star):
     def lines(self, *cols: str) -> DataFrame:
         if "line_date" in cols:
             return super().lines(*cols)
-        return self._undated_lines().select(*cols)
+        return self._undated_lines.select(*cols)
 
     def returns(self, *cols: str) -> DataFrame:
         if "return_date" in cols:
             return super().returns(*cols)
-        return self._undated_returns().select(*cols)
+        return self._undated_returns.select(*cols)
 
     def order_lines(self) -> DataFrame:
-        joined = self._undated_lines().join(self["fact_sales_orders"], "order_id")
+        joined = self._undated_lines.join(self["fact_sales_orders"], "order_id")
         return joined.withColumn("line_date", F.col("order_date")).drop("line_number", "return_flag")
 
     def _summable_lines(self) -> DataFrame:
-        return self._undated_lines()
+        return self._undated_lines
 
     def dated_values(self, prepare: Callable[[DataFrame], DataFrame] | None = None, **sums: Column) -> DataFrame:
         return self.order_values(prepare, **sums).withColumn("line_date", F.col("order_date"))

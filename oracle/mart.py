@@ -38,6 +38,25 @@ def _choice(index: str, values: list[str]) -> str:
     return f"list_extract([{', '.join(repr(v) for v in values)}], ({index})::INT + 1)"
 
 
+def _digest(factor: int) -> str:
+    """Digest of a line's columns other than its order."""
+    small = "l_linenumber::BIGINT"
+    for value, radix in (
+        ("l_quantity::BIGINT", 1000),
+        ("round(l_discount * 10000)::BIGINT", 10001),
+        ("round(l_tax * 10000)::BIGINT", 10001),
+        ("ascii(l_returnflag)", 128),
+        ("ascii(l_linestatus)", 128),
+    ):
+        small = f"({small} * {radix} + {value})"
+    days = "(l_shipdate::DATE - DATE '1970-01-01')"
+    parts = ("l_partkey", "l_suppkey", "round(l_extendedprice * 100)::BIGINT", small, days)
+    digest = "0::BIGINT"
+    for part in parts:
+        digest = f"(({digest} * {factor} + {part}) % 2147483647)"
+    return digest
+
+
 _REP = "{0} % (SELECT n * 9 // 10 FROM rep_count) + 1"
 
 CTES: dict[str, str] = {
@@ -132,10 +151,8 @@ CTES: dict[str, str] = {
                CASE WHEN order_status NOT IN ('Pending', 'Cancelled')
                     THEN order_date + (5 + order_id % 20)::INT END AS ship_date
         FROM order_state""",
-    "line_raw": """
-        SELECT md5(concat_ws('|', l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity::INT,
-                             round(l_extendedprice * 100)::BIGINT, round(l_discount * 100)::BIGINT,
-                             round(l_tax * 100)::BIGINT, l_returnflag, l_linestatus, l_shipdate::DATE)) AS line_item_id,
+    "line_raw": f"""
+        SELECT (l_orderkey + 1) || '-' || ({_digest(1000003)} * 2147483647 + {_digest(998244)}) AS line_item_id,
                l_quantity::INT AS quantity, round(l_extendedprice * 100)::BIGINT AS gross_c,
                round(l_discount * 10000)::BIGINT AS rate_bp, l_orderkey + 1 AS order_id,
                l_partkey - (l_partkey % 100 = 99)::INT + 1 AS product_id, l_linenumber, l_returnflag

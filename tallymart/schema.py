@@ -1,7 +1,7 @@
 """The mart's tables: columns, keys and value rules, all as data.
 
-Facts hold dates, not date ids.  Line and return keys are 32-character digests:
-a dense counter would need all lines in one place.
+Facts hold dates, not date ids.  Line and return keys are strings, made from a
+line's own columns: a dense counter would need all lines in one place.
 """
 
 from __future__ import annotations

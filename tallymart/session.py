@@ -12,6 +12,8 @@ RUNTIME = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # An aggregate on the join key must not stop AQE from splitting a hot key.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # Hash instead of sort-merge where every measured partition is small.
+    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64MB",
     "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
 }
 

@@ -35,6 +35,8 @@ OPEN_STATES = ("Pending", "Confirmed", "Cancelled")
 REASONS = ("Damaged item", "Late delivery", "Wrong item delivered", "Customer changed mind", "Defective item")
 CORE_TYPES = ("ECONOMY", "STANDARD")
 COST_FACTORS = {"PROMO": "2.4", "LARGE": "2.2"}
+KEY_PRIME = 2147483647
+KEY_FACTORS = (1000003, 998244)
 PROMO_RATES = ("0.05", "0.07", "0.10", "0.12", "0.15")
 
 
@@ -49,6 +51,20 @@ def spare(key: str) -> Column:
     return k - (k % 100 == 99).cast("bigint")
 
 
+def hundredths(amount: Column) -> Column:
+    """A non-negative amount held as double, in whole hundredths."""
+    return F.floor(amount * 100 + 0.5)
+
+
+def divided(num: Column, den: Column) -> Column:
+    """Integer quotient rounded half-up, of non-negative integers."""
+    return F.call_function("div", num * 2 + den, den * 2)
+
+
+def as_money(cents: Column) -> Column:
+    return (cents.cast("decimal(16,0)") * F.lit("0.01").cast("decimal(2,2)")).cast(MONEY)
+
+
 def type_key(p_type: Column) -> Column:
     """Category key: 28 bits of a digest of the type name."""
     return F.conv(F.substring(F.md5(p_type), 1, 7), 16, 10).cast("int")
@@ -243,36 +259,47 @@ class ConformedStar(Star):
 
     @staticmethod
     def _line_key() -> Column:
-        """A digest of all columns of the line."""
-        cents = [(F.round(F.col(c) * 100)).cast("bigint") for c in ("l_extendedprice", "l_discount", "l_tax")]
-        return F.md5(
-            F.concat_ws(
-                "|",
-                "l_orderkey",
-                "l_partkey",
-                "l_suppkey",
-                "l_linenumber",
-                F.col("l_quantity").cast("int"),
-                *cents,
-                "l_returnflag",
-                "l_linestatus",
-                F.col("l_shipdate").cast("date"),
-            )
-        )
+        """The order id and a 62-bit digest of the line's other columns.
+
+        Two multiply-and-add hashes in plain integer arithmetic; a collision
+        would have to fall inside one order.
+        """
+        small = F.col("l_linenumber").cast("bigint")
+        for value, radix in (
+            (F.col("l_quantity").cast("bigint"), 1000),
+            (hundredths(F.col("l_discount") * 100), 10001),
+            (hundredths(F.col("l_tax") * 100), 10001),
+            (F.ascii("l_returnflag"), 128),
+            (F.ascii("l_linestatus"), 128),
+        ):
+            small = small * radix + value
+        parts = [
+            F.col("l_partkey"),
+            F.col("l_suppkey"),
+            hundredths(F.col("l_extendedprice")),
+            small,
+            F.unix_date(F.col("l_shipdate").cast("date")),
+        ]
+        digests = []
+        for factor in KEY_FACTORS:
+            digest = F.lit(0).cast("bigint")
+            for part in parts:
+                digest = (digest * factor + part) % KEY_PRIME
+            digests.append(digest)
+        return F.concat_ws("-", F.col("l_orderkey") + 1, digests[0] * KEY_PRIME + digests[1])
 
     @cached_property
     def _undated_lines(self) -> DataFrame:
         """Lines without their date, which is the order's."""
-        gross = F.col("l_extendedprice").cast(MONEY)
-        rate = F.col("l_discount").cast("decimal(5,4)")
         quantity = F.col("l_quantity").cast("int")
+        gross, rate = hundredths(F.col("l_extendedprice")), hundredths(F.col("l_discount") * 100)
         return self._read("lineitem").select(
             self._line_key().alias("line_item_id"),
             quantity.alias("quantity"),
-            (gross / quantity).cast(MONEY).alias("unit_price"),
-            rate.alias("discount"),
-            gross.alias("gross_amount"),
-            (gross * (1 - rate)).cast(MONEY).alias("net_amount"),
+            as_money(divided(gross, quantity)).alias("unit_price"),
+            F.col("l_discount").cast("decimal(5,4)").alias("discount"),
+            as_money(gross).alias("gross_amount"),
+            as_money(divided(gross * (10000 - rate), F.lit(10000))).alias("net_amount"),
             (F.col("l_orderkey") + 1).alias("order_id"),
             (spare("l_partkey") + 1).alias("product_id"),
             F.col("l_linenumber").alias("line_number"),

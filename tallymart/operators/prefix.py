@@ -14,6 +14,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tallymart.operators.settle import settled
+
 BLOCK = 1_000_000
 
 
@@ -30,19 +32,28 @@ def prefix_sum(
     def path(depth: int) -> list[str]:
         return [*group, *(c for level in levels[:depth] for c, _ in level)]
 
-    def ahead(depth: int, value: str) -> Column:
-        order = [F.col(c).desc() if desc else F.col(c).asc() for c, desc in levels[depth]]
-        window = Window.partitionBy(*path(depth)).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-        return F.coalesce(F.sum(value).over(window), F.lit(0))
-
     last = len(levels) - 1
-    result = df.withColumn(out, ahead(last, weight))
-    totals = df
+    rows = totals = _summed(df, path(last), levels[last], weight, out)
     for depth in range(last - 1, -1, -1):
-        totals = totals.groupBy(*path(depth + 1)).agg(F.sum(weight).alias(weight))
-        offset = totals.select(*path(depth + 1), ahead(depth, weight).alias("_ahead"))
-        result = result.join(offset, path(depth + 1)).withColumn(out, F.col(out) + F.col("_ahead")).drop("_ahead")
-    return result
+        # The last entry of a window knows its total: read it off there, so that
+        # totals and rows come from the same shuffle.
+        blocks = totals.filter("_last").select(*path(depth + 1), (F.col(out) + F.col(weight)).alias(weight))
+        totals = _summed(blocks, path(depth), levels[depth], weight, out)
+        ahead = totals.select(*path(depth + 1), F.col(out).alias("_ahead"))
+        rows = rows.join(ahead, path(depth + 1)).withColumn(out, F.col(out) + F.col("_ahead")).drop("_ahead")
+    return rows.drop("_last")
+
+
+def _summed(
+    df: DataFrame, keys: Sequence[str], level: Sequence[tuple[str, bool]], weight: str, out: str
+) -> DataFrame:
+    """``df`` with ``out``, the weight ahead of a row among its keys, and a mark on the last row."""
+    order = [F.col(c).desc() if desc else F.col(c).asc() for c, desc in level]
+    window = Window.partitionBy(*keys).orderBy(*order)
+    ahead = F.sum(weight).over(window.rowsBetween(Window.unboundedPreceding, -1))
+    return df.withColumn(out, F.coalesce(ahead, F.lit(0))).withColumn(
+        "_last", F.lead(F.lit(True)).over(window).isNull()
+    )
 
 
 def block(key: str, width: int = BLOCK) -> Column:
@@ -57,8 +68,10 @@ def rank_by_amount(
 
     Rows are first reduced to distinct amounts with their counts, so a tie of
     any size is one entry.  A block of ``width`` units holds at most
-    ``100 * width`` distinct amounts.
+    ``100 * width`` distinct amounts.  Rows and amounts both stem from ``df``,
+    which is therefore settled first.
     """
+    df = settled(df)
     amounts = df.groupBy(*group, amount).agg(F.count(F.lit(1)).alias("_n"))
     if dense:
         amounts = amounts.withColumn("_n", F.lit(1).cast("bigint"))

@@ -1,0 +1,23 @@
+"""Rows that several branches of a plan read."""
+
+from __future__ import annotations
+
+import tempfile
+
+from pyspark.sql import DataFrame
+
+
+def settled(df: DataFrame) -> DataFrame:
+    """``df`` computed once and kept in the checkpoint folder.
+
+    Both the rows and their later aggregates then read the same files, also
+    when executors are lost in between.  The folder is the one the cluster
+    names in ``spark.checkpoint.dir``; only where none is named, as in a local
+    test, is a temporary one made.
+    """
+    spark = df.sparkSession
+    context = spark.sparkContext
+    if not context.getCheckpointDir():
+        named = spark.conf.get("spark.checkpoint.dir", None)
+        context.setCheckpointDir(named or tempfile.mkdtemp(prefix="tallymart-"))
+    return df.checkpoint()

@@ -22,6 +22,8 @@ def returned_lines(star: Star, *line_cols: str) -> DataFrame:
         .groupBy("line_item_id")
         .agg(units("return_quantity").alias("returned"))
     )
+    if "line_date" in line_cols:
+        return star.sales_of(per_line)
     return per_line.join(star.lines("line_item_id", *line_cols), "line_item_id")
 
 

@@ -225,9 +225,11 @@ def delivery_exceptions(star: Star, p: ReportParams) -> DataFrame:
 
 def returns_detail(star: Star, p: ReportParams) -> DataFrame:
     """Return cases with their sale, customer, product and category."""
-    cases = star.returns(
-        "return_id", "line_item_id", "return_date", "return_quantity", "credit_amount", "return_reason"
-    ).join(star.order_lines().select("line_item_id", "order_id", "customer_id", "product_id"), "line_item_id")
+    cases = star.sales_of(
+        star.returns(
+            "return_id", "line_item_id", "return_date", "return_quantity", "credit_amount", "return_reason"
+        )
+    )
     named = star.with_product_category(star.with_customer(cases, "customer_code"), "product_name")
     return named.orderBy(F.desc("return_date"), F.desc("credit_amount"), "order_id", "line_item_id").select(
         "return_id",

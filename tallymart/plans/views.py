@@ -431,7 +431,9 @@ def vw_summary_returns_analysis(star: Star, p: ReportParams) -> DataFrame:
         star.returns("line_item_id", "return_reason", "return_quantity", "credit_amount")
         .groupBy("line_item_id", "return_reason")
         .agg(units("return_quantity").alias("returned"), total("credit_amount").alias("credit"))
-        .join(valid.select("line_item_id", "customer_id", "product_id", month), "line_item_id")
+    )
+    cases = star.sales_of(cases).filter(NOT_CANCELLED).select(
+        "customer_id", "product_id", month, "return_reason", "returned", "credit"
     )
     returned = (
         placed(cases)

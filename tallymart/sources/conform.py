@@ -370,12 +370,11 @@ class ConformedStar(Star):
             return super().returns(*cols)
         return self._undated_returns.select(*cols)
 
-    def order_lines(self) -> DataFrame:
-        joined = self._undated_lines.join(self["fact_sales_orders"], "order_id")
-        return joined.withColumn("line_date", F.col("order_date")).drop("line_number", "return_flag")
+    def with_order(self, lines: DataFrame) -> DataFrame:
+        return super().with_order(lines).withColumn("line_date", F.col("order_date"))
 
-    def _summable_lines(self) -> DataFrame:
-        return self._undated_lines
+    def bare_lines(self) -> DataFrame:
+        return self._undated_lines.drop("line_number", "return_flag")
 
     def dated_values(self, prepare: Callable[[DataFrame], DataFrame] | None = None, **sums: Column) -> DataFrame:
         return self.order_values(prepare, **sums).withColumn("line_date", F.col("order_date"))

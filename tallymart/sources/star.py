@@ -56,21 +56,32 @@ class Star:
         """Returns with the given columns."""
         return self["fact_returns"].select(*cols)
 
+    def with_order(self, lines: DataFrame) -> DataFrame:
+        """Attach order columns to rows of ``bare_lines``; the result holds ``line_date``."""
+        return lines.join(self["fact_sales_orders"], "order_id")
+
     def order_lines(self) -> DataFrame:
         """Every line with its order's columns."""
-        return self["fact_order_line_items"].join(self["fact_sales_orders"], "order_id")
+        return self.with_order(self.bare_lines())
 
-    def _summable_lines(self) -> DataFrame:
-        """Lines to be summed per order; need not hold the line date."""
+    def bare_lines(self) -> DataFrame:
+        """Lines that are yet to meet their order; need not hold the line date."""
         return self["fact_order_line_items"]
 
+    def sales_of(self, per_line: DataFrame) -> DataFrame:
+        """Attach line and order columns to rows keyed by ``line_item_id``.
+
+        Lines are cut down to the wanted ones before they meet their orders.
+        """
+        return self.with_order(per_line.join(self.bare_lines(), "line_item_id"))
+
     def order_values(self, prepare: Callable[[DataFrame], DataFrame] | None = None, **sums: Column) -> DataFrame:
         """One row per order that has lines: order columns and sums over the lines.
 
         Lines are summed per order before the join, so an order with very many
         lines reaches the join as one row.
         """
-        lines = self._summable_lines()
+        lines = self.bare_lines()
         lines = prepare(lines) if prepare else lines
         per_order = lines.groupBy("order_id").agg(*[c.alias(n) for n, c in sums.items()])
         return per_order.join(self["fact_sales_orders"], "order_id")

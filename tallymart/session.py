@@ -12,6 +12,10 @@ RUNTIME = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # An aggregate on the join key must not stop AQE from splitting a hot key.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # Planned sizes are of compressed files, so they get a lower limit for a
+    # broadcast than sizes measured at run time.
+    "spark.sql.autoBroadcastJoinThreshold": "3MB",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "10MB",
     # Hash instead of sort-merge where every measured partition is small.
     "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64MB",
     "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",

@@ -12,12 +12,15 @@ def settled(df: DataFrame) -> DataFrame:
 
     Both the rows and their later aggregates then read the same files, also
     when executors are lost in between.  The folder is the one the cluster
-    names in ``spark.checkpoint.dir``; only where none is named, as in a local
-    test, is a temporary one made.
+    names in ``spark.checkpoint.dir``.  Where none is named, a local session
+    gets a temporary one; a cluster computes the rows once per branch, which
+    costs time and changes no result.
     """
     spark = df.sparkSession
     context = spark.sparkContext
     if not context.getCheckpointDir():
         named = spark.conf.get("spark.checkpoint.dir", None)
+        if named is None and not context.master.startswith("local"):
+            return df
         context.setCheckpointDir(named or tempfile.mkdtemp(prefix="tallymart-"))
     return df.checkpoint()

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallymart.llm import bpe, exact_dedup, simhash
+from tallymart.llm import bpe, exact_dedup, secret_scan, simhash, token_store
 from tallymart.llm.shared import read
 
 TOKENIZER = "word_bpe_49k.json"
@@ -18,6 +18,10 @@ def tokenizer_path(name: str = TOKENIZER) -> str:
     return str(public_tokenizers.path(name))
 
 
+def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.report(read(spark, sf_dir, "documents"))
+
+
 def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.classes(read(spark, sf_dir, "documents"))
 
@@ -26,12 +30,23 @@ def op3_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(read(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def op6_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_store.round_trip(read(spark, sf_dir, "documents"), tokenizer_path())
+
+
 def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(read(spark, sf_dir, "documents"), words=4, distance=4)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_exact_dedup, op3_bpe_round_trip, op10_simhash_near_dedup)
+    f.__name__: f
+    for f in (
+        op1_secret_scan,
+        op2_exact_dedup,
+        op3_bpe_round_trip,
+        op6_token_store,
+        op10_simhash_near_dedup,
+    )
 }
 
 STATEMENTS: dict[str, str] = {

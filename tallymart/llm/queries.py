@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallymart.llm import bpe, exact_dedup, secret_scan, simhash, token_store
+from tallymart.llm import bpe, exact_dedup, mixing, secret_scan, simhash, token_store, top_k
 from tallymart.llm.shared import read
 
 TOKENIZER = "word_bpe_49k.json"
@@ -30,10 +30,19 @@ def op3_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(read(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def op4_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return top_k.top_k(read(spark, sf_dir, "embeddings"), k=20, every=20, scale=64)
+
+
 def op6_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_store.round_trip(read(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    return mixing.mix(docs).drop("text")
+
+
 def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(read(spark, sf_dir, "documents"), words=4, distance=4)
 
@@ -44,12 +53,28 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op1_secret_scan,
         op2_exact_dedup,
         op3_bpe_round_trip,
+        op4_top_k,
         op6_token_store,
+        op7_mixing,
         op10_simhash_near_dedup,
     )
 }
 
 STATEMENTS: dict[str, str] = {
+    "op4_top_k": """
+        WITH v AS (
+            SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)) AS ints
+            FROM embeddings
+            WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+              AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding)
+        ), scored AS (
+            SELECT q.vec_id AS query_id, c.vec_id, list_dot_product(q.ints, c.ints)::BIGINT AS score
+            FROM v q JOIN v c ON q.vec_id % 20 = 0 AND c.vec_id <> q.vec_id AND len(c.ints) = len(q.ints)
+        )
+        SELECT query_id, rank::INT AS rank, vec_id, score
+        FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scored)
+        WHERE rank <= 20
+    """,
     "op2_exact_dedup": """
         SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, text_sha256
         FROM (

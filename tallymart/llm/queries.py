@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallymart.llm import bpe, exact_dedup, mixing, secret_scan, simhash, token_store, top_k
+from tallymart.llm import bpe, exact_dedup, mixing, secret_scan, simhash, token_store, top_k, toxicity
 from tallymart.llm.shared import read
 
 TOKENIZER = "word_bpe_49k.json"
@@ -43,6 +43,11 @@ def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(docs).drop("text")
 
 
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    return toxicity.score(docs, toxicity.fit(docs, read(spark, sf_dir, "labels")))
+
+
 def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(read(spark, sf_dir, "documents"), words=4, distance=4)
 
@@ -56,6 +61,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op4_top_k,
         op6_token_store,
         op7_mixing,
+        op9_toxicity,
         op10_simhash_near_dedup,
     )
 }

@@ -15,13 +15,14 @@ from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import ahocorasick
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from tallymart.llm.shared import whole_text
+from tallymart.llm.shared import map_batches, whole_text
 
 MEMO = 600_000  # words whose ids a worker remembers
 PAIRS = 1_000_000  # pairs of tokens whose compatibility it remembers
@@ -242,8 +243,8 @@ def digest(text: str) -> str:
     return hashlib.sha256(text.encode()).hexdigest()
 
 
-def round_trip(docs: DataFrame, path: str) -> DataFrame:
-    """Rows (doc_id, n_tokens, ids_sha256, decoded_sha256), one per row of `docs`.
+def round_trip(docs: DataFrame, path: str, with_ids: bool = False) -> DataFrame:
+    """Rows (doc_id, n_tokens, ids_sha256, decoded_sha256), one per row of `docs`, and the ids if asked for.
 
     Every whole text is encoded and its ids are decoded again; a null text counts as empty, an
     empty one has no ids.  The tokenizer file must lie at `path` on every executor.
@@ -256,15 +257,16 @@ def round_trip(docs: DataFrame, path: str) -> DataFrame:
             for text in batch.column(1):
                 ids = encode(text.as_py())
                 count = ids.count(" ") + 1 if ids else 0
-                rows.append((count, digest(ids), digest(decode(ids))))
-            counts, *digests = zip(*rows, strict=True) if rows else ((), (), ())
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(counts, pa.int64()), *(pa.array(d, pa.string()) for d in digests)],
-                ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
-            )
-
+                row = [count, digest(ids), digest(decode(ids))]
+                rows.append([*row, np.fromstring(ids, np.int32, sep=" ")] if with_ids else row)
+            columns = [pa.array([r[i] for r in rows], kind) for i, kind in enumerate(kinds)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *columns], names)
+
+    schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * with_ids
+    names = [c.split()[0] for c in schema.split(", ")]
+    kinds = [pa.int64(), pa.string(), pa.string(), pa.list_(pa.int32())][: len(names) - 1]
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), whole_text().alias("text"))
-    return docs.mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    return map_batches(docs, run, schema)
 
 
 def encode(docs: DataFrame, path: str, column: str = "ids") -> DataFrame:
@@ -277,7 +279,7 @@ def encode(docs: DataFrame, path: str, column: str = "ids") -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.list_(pa.int32()))], ["doc_id", column])
 
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), whole_text().alias("text"))
-    return docs.mapInArrow(run, f"doc_id long, {column} array<int>")
+    return map_batches(docs, run, f"doc_id long, {column} array<int>")
 
 
 def decode(rows: DataFrame, path: str, column: str = "ids") -> DataFrame:
@@ -289,4 +291,4 @@ def decode(rows: DataFrame, path: str, column: str = "ids") -> DataFrame:
             texts = [None if v is None else back(" ".join(map(str, v))) for v in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string())], ["doc_id", "text"])
 
-    return rows.select("doc_id", column).mapInArrow(run, "doc_id long, text string")
+    return map_batches(rows.select("doc_id", column), run, "doc_id long, text string")

@@ -4,18 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 
 from tallymart.llm import bpe, exact_dedup, mixing, secret_scan, simhash, token_store, top_k, toxicity
-from tallymart.llm.shared import read
-
-TOKENIZER = "word_bpe_49k.json"
-
-
-def tokenizer_path(name: str = TOKENIZER) -> str:
-    import public_tokenizers
-
-    return str(public_tokenizers.path(name))
+from tallymart.llm.shared import read, tokenizer_path
 
 
 def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -65,6 +58,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op10_simhash_near_dedup,
     )
 }
+QUERIES["pipeline"] = corpus_pipeline.run
 
 STATEMENTS: dict[str, str] = {
     "op4_top_k": """
@@ -92,3 +86,5 @@ STATEMENTS: dict[str, str] = {
         )
     """,
 }
+if corpus_pipeline.ORACLE_SQL:
+    STATEMENTS["pipeline"] = corpus_pipeline.ORACLE_SQL

@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+import shutil
 import tempfile
 import uuid
+from collections.abc import Callable
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 CHECKPOINT = "spark.checkpoint.dir"
+TOKENIZER = "word_bpe_49k.json"
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -34,6 +38,25 @@ def settle(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Sends this package to the executors, once an application: they need not have it installed."""
+    context = spark.sparkContext
+    if context.applicationId not in _shipped:
+        folder = tempfile.mkdtemp(prefix="package-")  # the driver serves the file from there
+        root = Path(__file__).resolve().parents[2]
+        context.addPyFile(shutil.make_archive(f"{folder}/tallymart", "zip", root, "tallymart"))
+        _shipped.add(context.applicationId)
+
+
+def map_batches(df: DataFrame, run: Callable, schema) -> DataFrame:
+    """`df.mapInArrow(run, schema)` with this package on the executors."""
+    ship(df.sparkSession)
+    return df.mapInArrow(run, schema)
+
+
 def whole_text(column: str = "text") -> Column:
     """The text, a null one as the empty text."""
     return F.coalesce(F.col(column), F.lit(""))
@@ -45,3 +68,10 @@ def free_name(df: DataFrame, wanted: str) -> str:
     while wanted.lower() in taken:
         wanted = f"_{wanted}"
     return wanted
+
+
+def tokenizer_path(name: str = TOKENIZER) -> str:
+    """Where the installed package of public tokenizers keeps a file, the same on every executor."""
+    import public_tokenizers
+
+    return str(public_tokenizers.path(name))

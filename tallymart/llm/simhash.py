@@ -11,7 +11,7 @@ spanning forest of the links found, never all pairs.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from functools import lru_cache
 
@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallymart.llm.components import components
-from tallymart.llm.shared import settle, whole_text
+from tallymart.llm.shared import map_batches, settle, whole_text
 
 BITS = 64
 SEED = 42
@@ -52,15 +52,17 @@ def fingerprint(text: str, words: int) -> int:
 
 
 def fingerprints(docs: DataFrame, words: int = 4) -> DataFrame:
-    """Rows (doc_id, fp): the signed 64-bit fingerprint of every row's whole text."""
+    """Rows (doc_id, text_hash, fp): the signed 64-bit fingerprint of every row's whole text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            fps = np.array([fingerprint(t.as_py(), words) for t in batch.column(1)], "<u8")
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps.view("<i8"))], ["doc_id", "fp"])
+            fps = np.array([fingerprint(t.as_py(), words) for t in batch.column(2)], "<u8")
+            columns = [*batch.columns[:2], pa.array(fps.view("<i8"))]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "text_hash", "fp"])
 
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), whole_text().alias("text"))
-    return docs.mapInArrow(run, "doc_id long, fp long")
+    text = whole_text()
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("text_hash"), text.alias("text"))
+    return map_batches(docs, run, "doc_id long, text_hash long, fp long")
 
 
 @dataclass(frozen=True)
@@ -82,6 +84,8 @@ SHORT = Cover(
     )
 )
 LONG = Cover(((("hamming", 31), ("free", 1)), (("hamming", 31), ("free", 1))))
+#: Four pieces, for distances of 8 to 11 bits.
+WIDE = Cover(((("hamming", 15), ("free", 1)),) * 4)
 LONG_FROM = 1 << 27  # fingerprints from which the long pieces are the cheaper choice
 
 
@@ -173,6 +177,18 @@ def forest(home: np.ndarray, other: np.ndarray, distance: int) -> tuple[np.ndarr
     return _span(left, right) if len(left) else (left, right)
 
 
+def within(home: np.ndarray, other: np.ndarray, distance: int) -> tuple[np.ndarray, np.ndarray]:
+    """All pairs (home, other) within `distance` bits, the smaller signed number first."""
+    found = [np.zeros((2, 0), "<i8")]
+    step = max(1, BLOCK // max(1, len(other)))
+    for i in range(0, len(home), step):
+        a, b = np.nonzero(np.bitwise_count(home[i : i + step, None] ^ other[None, :]) <= distance)
+        both = np.stack([home[a + i], other[b]]).view("<i8")
+        found.append(np.sort(both[:, both[0] != both[1]], axis=0))
+    left, right = np.unique(np.concatenate(found, axis=1), axis=1)
+    return left.view("<u8"), right.view("<u8")
+
+
 def _span(left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """At most one link per node, from it to its smallest reachable node: minima spread until they rest."""
     nodes, flat = np.unique(np.concatenate([left, right]), return_inverse=True)
@@ -191,47 +207,45 @@ def _span(left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return nodes[moved], nodes[label[moved]]
 
 
-def links(fps: DataFrame, distance: int = 4, cover: Cover | None = None) -> DataFrame:
-    """Rows (a, b): links that connect all distinct fingerprints `fp` within `distance` bits of each other.
-
-    Which links stand for a connected set is open; the sets they connect are exact.
-    """
-    if cover is None:
-        cover = LONG if fps.count() >= LONG_FROM else SHORT
+def _spread(fps: DataFrame, cover: Cover, distance: int, home_only: bool = False) -> DataFrame:
+    """Rows (anchor, fp, home): each fingerprint at its anchors."""
 
-    def copy(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             values = batch.column(0).to_numpy(zero_copy_only=False).astype("<i8").view("<u8")
             for i in range(0, len(values), CHUNK):
                 part = values[i : i + CHUNK]
                 rows, anchor, home = anchors(part, cover, distance)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(anchor.view("<i8")), pa.array(part[rows].view("<i8")), pa.array(home)],
-                    ["anchor", "fp", "home"],
-                )
+                if home_only:
+                    rows, anchor, home = rows[home], anchor[home], home[home]
+                columns = [pa.array(anchor.view("<i8")), pa.array(part[rows].view("<i8")), pa.array(home)]
+                yield pa.RecordBatch.from_arrays(columns, ["anchor", "fp", "home"])
+
+    return map_batches(fps.select("fp"), run, "anchor long, fp long, home boolean")
+
 
-    copies = fps.select("fp").mapInArrow(copy, "anchor long, fp long, home boolean")
+def _met(fps: DataFrame, distance: int, cover: Cover, compare: Callable) -> DataFrame:
+    """Rows (a, b): what `compare` makes of the home fingerprints and all copies of each anchor."""
     # A crowded anchor is dealt to several groups: each takes a share of its home fingerprints and all its copies.
     crowded = (
-        copies.where("home").groupBy("anchor").count().where(F.col("count") > CROWD)
+        _spread(fps, cover, distance, home_only=True).groupBy("anchor").count().where(F.col("count") > CROWD)
         .select("anchor", F.ceil(F.col("count") / CROWD).cast("int").alias("shares"))
     )
     shares = F.coalesce("shares", F.lit(1))
     dealt = (
-        copies.join(crowded, "anchor", "left")
+        _spread(fps, cover, distance).join(crowded, "anchor", "left")
         .select(
-            "anchor", "fp", "home", shares.alias("shares"),
-            F.pmod(F.xxhash64("fp"), shares).cast("int").alias("own"),
+            "anchor", "fp", "home", F.pmod(F.xxhash64("fp"), shares).cast("int").alias("own"),
+            F.explode(F.sequence(F.lit(0), shares - 1)).alias("share"),
         )
-        .select("anchor", "fp", "home", "own", F.explode(F.sequence(F.lit(0), F.col("shares") - 1)).alias("share"))
         .select("anchor", "share", "fp", (F.col("home") & (F.col("own") == F.col("share"))).alias("home"))
     )
 
-    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple[np.ndarray, np.ndarray]] = []
-        for key, home in _runs(batches):
-            if home.any() and len(key) > 1:
-                left, right = forest(key[home], key, distance)
+        for fps, home in _runs(batches):
+            if home.any() and len(fps) > 1:
+                left, right = compare(fps[home], fps, distance)
                 if len(left):
                     held.append((left, right))
             if sum(len(x) for x, _ in held) >= CHUNK:
@@ -239,10 +253,23 @@ def links(fps: DataFrame, distance: int = 4, cover: Cover | None = None) -> Data
                 held = []
         yield _batch(held)
 
-    return (
-        dealt.repartition("anchor", "share").sortWithinPartitions("anchor", "share")
-        .mapInArrow(compare, "a long, b long").distinct()
-    )
+    ordered = dealt.repartition("anchor", "share").sortWithinPartitions("anchor", "share")
+    return map_batches(ordered, run, "a long, b long").distinct()
+
+
+def links(fps: DataFrame, distance: int = 4, cover: Cover | None = None) -> DataFrame:
+    """Rows (a, b): links that connect all distinct fingerprints `fp` within `distance` bits of each other.
+
+    Which links stand for a connected set is open; the sets they connect are exact.
+    """
+    if cover is None:
+        cover = LONG if fps.count() >= LONG_FROM else SHORT
+    return _met(fps, distance, cover, forest)
+
+
+def pairs(fps: DataFrame, distance: int, cover: Cover = WIDE) -> DataFrame:
+    """Rows (a, b), a < b: all pairs of distinct fingerprints `fp` within `distance` bits of each other."""
+    return _met(fps, distance, cover, within)
 
 
 def _batch(held: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
@@ -281,7 +308,7 @@ def near_duplicates(docs: DataFrame, words: int = 4, distance: int = 4, cover: C
     other.  Repeated rows are rows of one class.  `component_id` is the smallest doc_id that is
     reachable, null if none of the rows reached has a doc_id.  Other columns are not read.
     """
-    rows = settle(fingerprints(docs, words), "fingerprints")
+    rows = settle(fingerprints(docs, words).drop("text_hash"), "fingerprints")
     classes = settle(rows.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "classes")
     roots = components(links(classes, distance, cover))
     linked = classes.join(roots, F.col("fp") == F.col("node"), "left").select(
@@ -292,3 +319,70 @@ def near_duplicates(docs: DataFrame, words: int = 4, distance: int = 4, cover: C
     return rows.join(found, "fp", "left").select(
         "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id"
     )
+
+
+def shingle_sets(docs: DataFrame, words: int) -> DataFrame:
+    """Rows (fp, shingles): the sorted distinct shingle hashes of each text beside its column `fp`."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = []
+            for text in batch.column(1):
+                parts = text.as_py().encode().lower().split()
+                n = max(1, len(parts) - words + 1) if parts else 0
+                joined = (b" ".join(parts[i : i + words]) for i in range(n))
+                hashes = np.fromiter((xxhash.xxh64_intdigest(x, SEED) for x in joined), "<u8", n)
+                sets.append(np.unique(hashes).view("<i8"))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.list_(pa.int64()))], ["fp", "shingles"])
+
+    return map_batches(docs.select("fp", "text"), run, "fp long, shingles array<long>")
+
+
+def similar_groups(
+    docs: DataFrame, words: int = 5, similarity: float = 0.8, close: int = 4, distance: int = 11
+) -> DataFrame:
+    """Rows (doc_id, text_hash, keep_id, keep_hash), one per row of `docs`: the row that stays of its group.
+
+    Fingerprints within `close` bits are linked as they are, by forests.  The sets so connected
+    stand for each other; one text of each is compared with those of all sets within `distance`
+    bits, and linked at a Jaccard similarity of the shingles of `similarity` or more.  The row with
+    the smallest doc_id stays (a null one only alone), of rows that repeat it the one with the
+    smallest text hash.  Null texts are empty; all texts without words are one group.
+    """
+    rows = settle(fingerprints(docs, words), "fingerprints")
+    first = F.min(F.struct(F.coalesce("doc_id", F.lit((1 << 63) - 1)).alias("place"), "doc_id", "text_hash"))
+    classes = settle(rows.groupBy("fp").agg(first.alias("first")), "classes")
+    near = settle(components(links(classes, close)), "near")
+    heads = settle(classes.join(near.select(F.col("node").alias("fp")).where("fp is not null"), "fp", "left_anti")
+                   .unionByName(classes.join(near.select(F.col("root").alias("fp")).distinct(), "fp", "left_semi"))
+                   .dropDuplicates(["fp"]), "heads")
+    wide = settle(pairs(heads, distance), "pairs")
+    asked = heads.join(wide.select(F.explode(F.array("a", "b")).alias("fp")).distinct(), "fp", "left_semi")
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), whole_text().alias("text")).join(
+        asked.select(F.col("first.doc_id").alias("head_id"), F.col("first.text_hash").alias("head_hash"), "fp"),
+        F.col("doc_id").eqNullSafe(F.col("head_id")) & (F.xxhash64("text") == F.col("head_hash")),
+    )
+    sets = settle(shingle_sets(texts, words).dropDuplicates(["fp"]), "shingles")
+    left = sets.select(F.col("fp").alias("a"), F.col("shingles").alias("left"))
+    right = sets.select(F.col("fp").alias("b"), F.col("shingles").alias("right"))
+    shared = F.size(F.array_intersect("left", "right"))
+    alike = wide.join(left, "a").join(right, "b").where(
+        shared >= similarity * (F.size("left") + F.size("right") - shared)
+    )
+    all_links = near.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(alike.select("a", "b"))
+    roots = components(all_links)
+    linked = classes.join(roots, F.col("fp") == F.col("node"), "left").select(
+        "fp", "first", F.coalesce("root", "fp").alias("root")
+    )
+    stays = linked.groupBy("root").agg(F.min("first").alias("stays"))
+    members = settle(linked.join(stays, "root").select("fp", "stays.doc_id", "stays.text_hash"), "members")
+    members = members.select("fp", F.col("doc_id").alias("keep_id"), F.col("text_hash").alias("keep_hash"))
+    return rows.join(members, "fp").select("doc_id", "text_hash", "keep_id", "keep_hash")
+
+
+def keepers(docs: DataFrame, **options) -> DataFrame:
+    """The rows of `docs` that stay of their groups, with their columns."""
+    groups = similar_groups(docs, **options)
+    stay = groups.select(F.col("keep_id").alias("stay_id"), F.col("keep_hash").alias("stay_hash")).distinct()
+    match = docs["doc_id"].cast("long").eqNullSafe(stay["stay_id"]) & (F.xxhash64(whole_text()) == stay["stay_hash"])
+    return docs.join(stay, match, "left_semi")

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from tallymart.llm.bpe import Memo, WordSplitter, byte_letters
-from tallymart.llm.shared import shared_folder, whole_text
+from tallymart.llm.shared import map_batches, shared_folder, whole_text
 
 SAMPLE = 2000  # documents that the dictionary is trained on
 SAMPLE_CHARS = 4096  # longest of them
@@ -143,7 +143,7 @@ def write(docs: DataFrame, path: str, folder: str) -> None:
         .withColumn("tie", F.xxhash64("text")).repartitionByRange("doc_id", "tie")
         .sortWithinPartitions("doc_id", "tie", "text").select("doc_id", "text")
     )
-    ordered.mapInArrow(pack, PACK).write.option("compression", "none").parquet(f"{folder}/packs")
+    map_batches(ordered, pack, PACK).write.option("compression", "none").parquet(f"{folder}/packs")
 
 
 def _dictionary_of(spark: SparkSession, folder: str) -> bytes:
@@ -182,7 +182,7 @@ def read(spark: SparkSession, folder: str) -> DataFrame:
     placed = packs.join(totals, "shard").select(
         (F.col("base") + F.col("first_token")).alias("at"), "dictionary", "doc_ids", "counts", "offsets", "payload"
     )
-    return placed.mapInArrow(unpack, "doc_id long, start long, n_tokens long, ids binary")
+    return map_batches(placed, unpack, "doc_id long, start long, n_tokens long, ids binary")
 
 
 def fetch(spark: SparkSession, folder: str, doc_id: int) -> list[list[int]]:
@@ -211,4 +211,4 @@ def round_trip(docs: DataFrame, path: str) -> DataFrame:
             crc = [zlib.crc32(v.as_buffer()) for v in batch.column(3)]
             yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(crc, pa.int64())], ["doc_id", "start", "n_tokens", "ids_crc32"])
 
-    return read(docs.sparkSession, folder).mapInArrow(sums, "doc_id long, start long, n_tokens long, ids_crc32 long")
+    return map_batches(read(docs.sparkSession, folder), sums, "doc_id long, start long, n_tokens long, ids_crc32 long")

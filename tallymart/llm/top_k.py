@@ -15,6 +15,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tallymart.llm.shared import ship
+
 BLOCK = 1 << 14  # candidates of a block
 QUERIES = 1 << 11  # queries that meet a block at once
 CHUNK = 128  # of them, whose bounds are held at once
@@ -148,6 +150,7 @@ def top_k(vectors: DataFrame, k: int = 20, every: int = 20, scale: int = 64, blo
             "score": scores,
         })
 
+    ship(vectors.sparkSession)
     keys = ("dim", "block", "turn")
     met = (
         queries.withColumn("query", F.xxhash64("ints")).groupBy(*keys)

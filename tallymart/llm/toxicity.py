@@ -16,7 +16,7 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallymart.llm.shared import whole_text
+from tallymart.llm.shared import map_batches, whole_text
 
 SAMPLE = 20_000  # labelled rows that the model is fitted on, those with the lowest hash of doc_id
 WORDS = 1000  # most features that the model weighs
@@ -216,7 +216,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
             yield pa.RecordBatch.from_arrays(columns, ["doc_id", "p_toxic", "severity", "grade", "rejected"])
 
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), whole_text().alias("text"))
-    return docs.mapInArrow(run, "doc_id long, p_toxic double, severity double, grade int, rejected boolean")
+    return map_batches(docs, run, "doc_id long, p_toxic double, severity double, grade int, rejected boolean")
 
 
 def accepted(docs: DataFrame, model: Model) -> DataFrame:
@@ -228,4 +228,4 @@ def accepted(docs: DataFrame, model: Model) -> DataFrame:
             p = model.grades([t or "" for t in batch.column(place).to_pylist()])
             yield batch.filter(pa.array(1 - p[:, 0] < model.reject))
 
-    return docs.mapInArrow(run, docs.schema)
+    return map_batches(docs, run, docs.schema)

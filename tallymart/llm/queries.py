@@ -7,7 +7,7 @@ from collections.abc import Callable
 import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 
-from tallymart.llm import bpe, exact_dedup, mixing, secret_scan, simhash, token_store, top_k, toxicity
+from tallymart.llm import bpe, exact_dedup, mixing, quality, secret_scan, simhash, token_store, top_k, toxicity
 from tallymart.llm.shared import read, tokenizer_path
 
 
@@ -36,6 +36,10 @@ def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(docs).drop("text")
 
 
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.classify(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
     return toxicity.score(docs, toxicity.fit(docs, read(spark, sf_dir, "labels")))
@@ -54,6 +58,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op4_top_k,
         op6_token_store,
         op7_mixing,
+        op8_quality,
         op9_toxicity,
         op10_simhash_near_dedup,
     )

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 
-from tallymart.llm import bpe, exact_dedup, mixing, quality, secret_scan, simhash, token_store, top_k, toxicity
+from tallymart.llm import bpe, exact_dedup, lm_score, mixing, quality, secret_scan, simhash, token_store, top_k, toxicity
 from tallymart.llm.shared import read, tokenizer_path
 
 
@@ -27,6 +27,10 @@ def op4_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_k.top_k(read(spark, sf_dir, "embeddings"), k=20, every=20, scale=64)
 
 
+def op5_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_score.score(read(spark, sf_dir, "documents"))
+
+
 def op6_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_store.round_trip(read(spark, sf_dir, "documents"), tokenizer_path())
 
@@ -56,6 +60,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op2_exact_dedup,
         op3_bpe_round_trip,
         op4_top_k,
+        op5_lm_score,
         op6_token_store,
         op7_mixing,
         op8_quality,

@@ -133,7 +133,7 @@ def mix(
     """
     out = ("block", "release", "deadline", "slot", "at")
     docs = docs.drop(*out)
-    own = {c: free_name(docs, f"mix_{c}") for c in ("size", "place", "cell", "before", "key", "segments", "segment")}
+    own = {c: free_name(docs, f"mix_{c}") for c in ("size", "place", "cell", "there", "before", "key", "segments", "segment")}
     cells = max(1, -(-docs.count() // CELL_ROWS))
     size = F.greatest(F.length(whole_text()), F.lit(1)).cast("long")
     place = F.xxhash64("doc_id", whole_text())
@@ -145,10 +145,10 @@ def mix(
 
     rows = cell_of(docs)
     sums = cell_of(docs.select("doc_id", "source", "text")).groupBy(
-        F.col("source").alias(own["key"]), F.col(own["cell"]).alias("cell")
+        F.col("source").alias(own["key"]), F.col(own["cell"]).alias(own["there"])
     ).agg(F.sum(own["size"]).alias("n"))
-    ahead = Window.partitionBy(own["key"]).orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sums.select(own["key"], "cell", F.coalesce(F.sum("n").over(ahead), F.lit(0)).alias(own["before"]))
+    ahead = Window.partitionBy(own["key"]).orderBy(own["there"]).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sums.select(own["key"], own["there"], F.coalesce(F.sum("n").over(ahead), F.lit(0)).alias(own["before"]))
 
     totals = sums.groupBy(own["key"]).agg(F.sum("n").alias("n")).limit(SOURCES + 1).collect()
     if len(totals) > SOURCES:
@@ -173,7 +173,7 @@ def mix(
     )
     placed = rows.withColumn("at", F.coalesce(F.sum(own["size"]).over(within), F.lit(0)))
     joined = placed.join(
-        offsets, placed["source"].eqNullSafe(offsets[own["key"]]) & (placed[own["cell"]] == offsets["cell"])
+        offsets, placed["source"].eqNullSafe(offsets[own["key"]]) & (placed[own["cell"]] == offsets[own["there"]])
     ).select(*docs.columns, (F.col("at") + F.col(own["before"])).alias("at"))
     # at most SOURCES rows of at most SOURCES * PERIOD slots in all
     known = joined.join(F.broadcast(table), joined["source"].eqNullSafe(table[own["key"]]))

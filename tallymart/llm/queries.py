@@ -70,7 +70,45 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 QUERIES["pipeline"] = corpus_pipeline.run
 
+
+
+def _secret_statement() -> str:
+    """Spans of every rule: what a regex finds, between what it leaves."""
+    parts = []
+    for place, rule in enumerate(secret_scan.RULES):
+        pattern = rule.pattern.replace("'", "''")
+        parts.append(f"""
+            SELECT doc_id, id, {place} AS place, '{rule.kind}' AS kind, {rule.base} AS base, {rule.least} AS least,
+                   string_split_regex(t, '{pattern}') AS gaps, regexp_extract_all(t, '{pattern}') AS hits,
+                   regexp_extract_all(t, '{pattern}', {rule.group}) AS vals
+            FROM docs""")
+    counts = ", ".join(
+        f"count(*) FILTER (kind = '{rule.kind}') AS n_{rule.kind}" for rule in secret_scan.RULES if rule.base
+    )
+    return f"""
+        WITH docs AS (SELECT doc_id, row_number() OVER () AS id, coalesce(text, '') AS t FROM documents),
+        found AS ({" UNION ALL ".join(parts)}),
+        each AS (SELECT *, unnest(range(1, len(hits) + 1)) AS i FROM found WHERE len(hits) > 0),
+        spans AS (
+            SELECT doc_id, id, place, kind, base, length(hits[i]) AS size,
+                   list_sum(list_transform(gaps[1:i], lambda x: length(x)))
+                   + coalesce(list_sum(list_transform(hits[1:i - 1], lambda x: length(x))), 0) AS start
+            FROM each WHERE length(vals[i]) >= least
+        ),
+        texts AS (
+            SELECT id, {counts},
+                   string_agg(kind || ':' || start || ':' || (start + size), ',' ORDER BY start, place) AS spans,
+                   string_agg(kind || ':' || start || ':' || (start + size), ',' ORDER BY start, place) FILTER (base) AS own
+            FROM spans GROUP BY id
+        )
+        SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
+               sha256(coalesce(own, '')) AS base_sha256, coalesce(spans, '') AS spans
+        FROM docs LEFT JOIN texts USING (id)
+    """
+
+
 STATEMENTS: dict[str, str] = {
+    "op1_secret_scan": _secret_statement(),
     "op4_top_k": """
         WITH v AS (
             SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)) AS ints

@@ -23,7 +23,9 @@ WORDS = 1000  # most features that the model weighs
 LEAST_ROWS = 5  # sample rows that must hold a feature
 LEAST_Z = 6.0  # deviations by which its share among toxic rows must exceed that among clean ones
 GRADES = 3
-STEPS, RATE, SHRINK = 400, 0.05, 1e-3
+MARGIN = 0.25
+PER_WORDS, FEW_WORDS = 200, 20  # features count per so many words; a short text counts as so many more
+STEPS, RATE, SHRINK = 600, 0.05, 3e-4
 
 STEMS = (5, 6, 7, 8)  # lengths of word beginnings that are features beside the whole words
 MEMO = 500_000  # words whose features a worker remembers
@@ -64,14 +66,19 @@ class Model:
         weights, find, known = self.weights, WORD.findall, Weighed(self.weights)
         scores = np.zeros(len(texts))
         for i, text in enumerate(texts):
-            counts: dict[str, int] = {}
-            for own in filter(None, map(known.__getitem__, find(text.lower()))):
+            words, counts = find(text.lower()), {}
+            for own in filter(None, map(known.__getitem__, words)):
                 for f in own:
                     counts[f] = counts.get(f, 0) + 1
-            scores[i] = sum(weights[f] * np.log1p(n) for f, n in counts.items())
+            scores[i] = sum(weights[f] * value(n, len(words)) for f, n in counts.items())
         return probabilities(scores, np.array(self.cuts))
 
 
+def value(count: int, words: int) -> float:
+    """Of a feature that occurs `count` times among `words` words."""
+    return float(np.log1p(PER_WORDS * count / (words + FEW_WORDS)))
+
+
 def probabilities(scores: np.ndarray, cuts: np.ndarray) -> np.ndarray:
     below = 1 / (1 + np.exp(np.clip(scores[:, None] - cuts[None, :], -500, 500)))
     edge = np.ones((len(scores), 1))
@@ -115,6 +122,7 @@ def fit_cuts(features: list[dict[int, float]], grades: np.ndarray, words: int) -
         mean = 0.9 * mean + 0.1 * up
         spread = 0.999 * spread + 0.001 * up**2
         point = point + RATE * (mean / (1 - 0.9**step)) / (np.sqrt(spread / (1 - 0.999**step)) + 1e-8)
+        point[:words] = np.maximum(point[:words], 0)  # chosen for their toxic rows, features only raise severity
     cuts = np.cumsum(np.concatenate([point[words : words + 1], np.exp(point[words + 1 :])]))
     return point[:words], cuts
 
@@ -135,7 +143,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     """The model of a bounded sample of labelled rows.
 
     Null labels are left out; a doc_id labelled twice counts as toxic if any label says so.  Copies
-    and near copies (equal smallest and largest word hash) count once, so that one mislabelled text
+    and near copies (equal smallest and largest hash of two words in a row) count once, so that one mislabelled text
     cannot teach its words.  Without toxic or without clean rows no word is weighed and nothing
     is rejected.
     """
@@ -148,7 +156,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
         docs.select(F.col("doc_id").cast("long").alias("doc_id"), whole_text().alias("text"))
         .join(F.broadcast(chosen), "doc_id").select("doc_id", "toxic", _words(F.col("text")).alias("words"))
     )
-    hashes = F.transform("words", lambda w: F.xxhash64(w))
+    hashes = F.transform("words", lambda w, i: F.xxhash64(w, F.get("words", i + 1)))
     rows = (
         rows.groupBy(F.array_min(hashes).alias("low"), F.array_max(hashes).alias("high"))
         .agg(F.min_by(F.struct("toxic", "words"), F.struct("doc_id", "words")).alias("row")).select("row.*")
@@ -170,15 +178,15 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
         words = [r["word"] for r in best]
         place = {w: i for i, w in enumerate(words)}
         asked = F.array(*(F.lit(w) for w in words)).cast("array<string>")
-        held = rows.select("toxic", F.filter(_features(F.col("words")), lambda w: F.array_contains(asked, w)).alias("words")).collect()
+        held = rows.select("toxic", F.filter(_features(F.col("words")), lambda w: F.array_contains(asked, w)).alias("found"), F.size("words").alias("size")).collect()
     finally:
         rows.unpersist()
     values, counts = [], []
     for r in held:
         own: dict[int, int] = {}
-        for w in r["words"]:
+        for w in r["found"]:
             own[place[w]] = own.get(place[w], 0) + 1
-        values.append({w: float(np.log1p(n)) for w, n in own.items()})
+        values.append({f: value(n, r["size"]) for f, n in own.items()})
         counts.append(sum(own.values()))
     bad = np.array([r["toxic"] for r in held]) > 0
     counts = np.array(counts)
@@ -189,14 +197,19 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
 
 
 def best_threshold(p: np.ndarray, bad: np.ndarray) -> float:
-    """The probability that best parts the sample (greatest F1), halfway to the next one below."""
+    """The cut that parts the sample best (greatest F1): `MARGIN` of the way, in log odds, from the
+    highest probability that it lets pass to the lowest that it catches."""
     levels = np.unique(p)
     order = np.argsort(p)
     ahead = np.searchsorted(p[order], levels)
     caught = bad.sum() - np.concatenate([[0], np.cumsum(bad[order])])[ahead]
     f1 = 2 * caught / np.maximum(len(p) - ahead + bad.sum(), 1)
     at = int(f1.argmax())
-    return float((levels[at] + levels[at - 1]) / 2) if at else float(levels[-1] + 1)
+    if not at:
+        return float(levels[-1] + 1)
+    low, high = np.clip(levels[at - 1 : at + 1], 1e-12, 1 - 1e-12)
+    odds = (1 - MARGIN) * np.log(low / (1 - low)) + MARGIN * np.log(high / (1 - high))
+    return float(1 / (1 + np.exp(-odds)))
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:

@@ -3,7 +3,7 @@
 Totals are DECIMAL(28,2): the sum type Spark gives DECIMAL(18,2), so a grand
 total over a very large mart cannot overflow.  Ratios are divided with enough
 fractional digits that the one rounding to the result scale is exact half-up
-for totals up to 10^18.
+for totals up to 10^20.
 """
 
 from __future__ import annotations
@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 MONEY = "decimal(18,2)"
 TOTAL = "decimal(28,2)"
-_OPERAND = "decimal(20,2)"
+_OPERAND = "decimal(22,2)"
 
 
 def total(value: Column | str) -> Column:

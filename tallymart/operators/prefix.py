@@ -14,8 +14,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallymart.operators.settle import settled
-
 BLOCK = 1_000_000
 
 
@@ -34,10 +32,14 @@ def prefix_sum(
 
     last = len(levels) - 1
     rows = totals = _summed(df, path(last), levels[last], weight, out)
+    kind = dict(df.dtypes)[weight]
     for depth in range(last - 1, -1, -1):
         # The last entry of a window knows its total: read it off there, so that
-        # totals and rows come from the same shuffle.
-        blocks = totals.filter("_last").select(*path(depth + 1), (F.col(out) + F.col(weight)).alias(weight))
+        # totals and rows come from the same shuffle.  It is the same shuffle only
+        # if the totals read all columns, so they add a zero made from them.
+        nothing = F.xxhash64(*df.columns) % 1 if depth == last - 1 else F.lit(0)
+        whole = (F.col(out) + F.col(weight) + nothing).cast(kind if kind == "bigint" else "decimal(38,2)")
+        blocks = totals.filter("_last").select(*path(depth + 1), whole.alias(weight))
         totals = _summed(blocks, path(depth), levels[depth], weight, out)
         ahead = totals.select(*path(depth + 1), F.col(out).alias("_ahead"))
         rows = rows.join(ahead, path(depth + 1)).withColumn(out, F.col(out) + F.col("_ahead")).drop("_ahead")
@@ -68,16 +70,18 @@ def rank_by_amount(
 
     Rows are first reduced to distinct amounts with their counts, so a tie of
     any size is one entry.  A block of ``width`` units holds at most
-    ``100 * width`` distinct amounts.  Rows and amounts both stem from ``df``,
-    which is therefore settled first.
+    ``100 * width`` distinct amounts.  Rows and amounts both stem from ``df``:
+    the mark makes the amounts read all its columns, so the shuffles below are
+    the same for both and run once.
     """
-    df = settled(df)
-    amounts = df.groupBy(*group, amount).agg(F.count(F.lit(1)).alias("_n"))
+    mark = F.max(F.xxhash64(*df.columns)).alias("_mark")
+    amounts = df.groupBy(*group, amount).agg(F.count(F.lit(1)).alias("_n"), mark)
     if dense:
         amounts = amounts.withColumn("_n", F.lit(1).cast("bigint"))
     amounts = amounts.withColumn("_block", F.floor(F.col(amount) / width))
     ranked = prefix_sum(amounts, group, [[("_block", True)], [(amount, True)]], "_n", "_ahead_of_it")
-    ranks = ranked.select(*group, amount, (F.col("_ahead_of_it") + 1).cast("bigint").alias(out))
+    rank = F.when(F.col("_mark").isNotNull(), (F.col("_ahead_of_it") + 1).cast("bigint"))
+    ranks = ranked.select(*group, amount, rank.alias(out))
     return df.join(ranks, [*group, amount])
 
 

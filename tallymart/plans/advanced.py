@@ -162,9 +162,9 @@ def products_not_ordered_high_rev_regions(star: Star, p: ReportParams) -> DataFr
         .agg(total("net").alias("net"))
         .filter(F.col("net") > p.region_revenue_floor)
     )
-    sales = star.order_lines().select("customer_id", "product_id")
-    ordered = star.with_customer(sales, "region_id").select("region_id", "product_id").distinct()
-    wanted = ordered.join(strong, "region_id", "left_semi").select("product_id").distinct()
+    buyers = star["dim_customers"].select("customer_id", "region_id").join(strong, "region_id", "left_semi")
+    orders = star["fact_sales_orders"].select("order_id", "customer_id").join(buyers, "customer_id", "left_semi")
+    wanted = star.lines("order_id", "product_id").join(orders, "order_id", "left_semi").select("product_id").distinct()
     return star["dim_products"].join(wanted, "product_id", "left_anti").select("product_id", "product_name")
 
 
@@ -257,18 +257,11 @@ def monthly_product_running_total(star: Star, p: ReportParams) -> DataFrame:
 
 def returns_per_order(star: Star) -> DataFrame:
     """Return cases, credit and units per order, whatever its status."""
-    per_line = (
-        star.returns("line_item_id", "return_quantity", "credit_amount")
-        .groupBy("line_item_id")
-        .agg(
-            F.count(F.lit(1)).alias("cases"),
-            total("credit_amount").alias("credit"),
-            units("return_quantity").alias("returned"),
-        )
+    returned = star.returned_values(
+        cases=F.count(F.lit(1)), credit=total("credit_amount"), returned=units("return_quantity")
     )
     return (
-        per_line.join(star.lines("line_item_id", "order_id"), "line_item_id")
-        .groupBy("order_id")
+        returned.groupBy("order_id")
         .agg(units("cases").alias("cases"), total("credit").alias("credit"), units("returned").alias("returned"))
     )
 

@@ -150,9 +150,8 @@ def dq_date_coverage(star: Star, p: ReportParams) -> DataFrame:
     parts = []
     for table, column in FACT_DATES:
         used = _column(star, table, column).filter(F.col(column).isNotNull()).select(F.col(column).alias("day"))
-        used = used.distinct().join(
-            F.broadcast(calendar.select(F.col("full_date").alias("day"), F.lit(True).alias("known"))), "day", "left"
-        )
+        known = calendar.select(F.col("full_date").alias("day"), F.lit(True).alias("known"))
+        used = used.distinct().join(known, "day", "left")
         parts.append(
             used.agg(
                 F.count(F.lit(1)).alias("days_used"), F.count(F.when(F.col("known").isNull(), True)).alias("days_missing")

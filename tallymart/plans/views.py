@@ -288,12 +288,7 @@ def vw_summary_product_performance(star: Star, p: ReportParams) -> DataFrame:
         .groupBy("product_id")
         .agg(units("quantity").alias("total_units_sold"), total("net_amount").alias("net_revenue"))
     )
-    per_line = (
-        star.returns("line_item_id", "return_quantity")
-        .groupBy("line_item_id")
-        .agg(units("return_quantity").alias("returned"))
-        .join(star.lines("line_item_id", "order_id", "product_id"), "line_item_id")
-    )
+    per_line = star.returned_values(returned=units("return_quantity"))
     valid = star["fact_sales_orders"].filter(NOT_CANCELLED).select("order_id")
     returned = (
         per_line.join(valid, "order_id", "left_semi").groupBy("product_id").agg(units("returned").alias("returned"))
@@ -421,22 +416,20 @@ def vw_summary_returns_analysis(star: Star, p: ReportParams) -> DataFrame:
     month = cal.month_start("line_date").alias("period_start_date")
     keys = ["period_start_date", "country_name", "category_name"]
 
-    def placed(lines: DataFrame) -> DataFrame:
-        return star.with_product_category(star.with_customer_geo(lines, "country_name"))
+    def per_product(lines: DataFrame, *more: str, **sums: Column) -> DataFrame:
+        """Sums per month, country and category; dimensions join orders and summed rows, never lines."""
+        summed = star.with_order(lines, valid).groupBy(month, "country_name", "product_id", *more).agg(*[c.alias(n) for n, c in sums.items()])
+        return star.with_product_category(summed)
 
-    valid = star.order_lines().filter(NOT_CANCELLED)
-    sold = placed(valid.select("customer_id", "product_id", month, "quantity"))
-    sold = sold.groupBy(*keys).agg(units("quantity").alias("units_sold"))
-    cases = (
-        star.returns("line_item_id", "return_reason", "return_quantity", "credit_amount")
-        .groupBy("line_item_id", "return_reason")
-        .agg(units("return_quantity").alias("returned"), total("credit_amount").alias("credit"))
-    )
-    cases = star.sales_of(cases).filter(NOT_CANCELLED).select(
-        "customer_id", "product_id", month, "return_reason", "returned", "credit"
+    valid = star["fact_sales_orders"].filter(NOT_CANCELLED).select("order_id", "customer_id", "order_date")
+    valid = star.with_customer_geo(valid, "country_name")
+    sold = per_product(star.bare_lines(), units_sold=units("quantity"))
+    sold = sold.groupBy(*keys).agg(units("units_sold").alias("units_sold"))
+    cases = star.returned_values(
+        "return_reason", returned=units("return_quantity"), credit=total("credit_amount")
     )
     returned = (
-        placed(cases)
+        per_product(cases, "return_reason", returned=units("returned"), credit=total("credit"))
         .groupBy(*keys, "return_reason")
         .agg(units("returned").alias("units_returned"), total("credit").alias("total_credit_note_value"))
     )

@@ -13,7 +13,7 @@ _RATE = "decimal(5,4)"
 
 DDL: dict[str, str] = {
     "dim_regions": "region_id int, country_name string, region_name string, territory_name string",
-    "dim_categories": "category_id int, category_name string, segment_name string, parent_category_id int",
+    "dim_categories": "category_id bigint, category_name string, segment_name string, parent_category_id bigint",
     "dim_date": "date_id int, full_date date, year int, quarter int, month int, month_name string, "
     "week_number int, day_of_week int, day_name string, is_business_day boolean",
     "dim_sales_reps": "sales_rep_id bigint, employee_code string, rep_name string, hire_date date, "
@@ -25,7 +25,7 @@ DDL: dict[str, str] = {
     "region_id int",
     "dim_products": "product_id bigint, product_sku string, product_name string, stock_level int, "
     "product_status string, product_type string, brand string, is_active boolean, "
-    f"unit_cost {_MONEY}, list_price {_MONEY}, valid_from date, valid_to date, category_id int",
+    f"unit_cost {_MONEY}, list_price {_MONEY}, valid_from date, valid_to date, category_id bigint",
     "fact_sales_orders": "order_id bigint, order_status string, payment_terms string, "
     "document_type string, sales_org string, distribution_channel string, created_at timestamp_ntz, "
     "customer_id bigint, sales_rep_id bigint, order_date date, ship_date date",

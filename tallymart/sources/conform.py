@@ -1,9 +1,9 @@
 """The star derived from order-processing tables (region, nation, customer,
 supplier, part, orders, lineitem).
 
-Every source row is kept.  Where the mart needs customers without orders and
-products without lines, orders of one account in a hundred are billed to the
-account before it, and one part in a hundred is sold under the part before it.
+Every source row is kept, under its own keys.  With ``spare_keys`` orders of one
+account in a hundred are billed to the account before it, and one part in a
+hundred is sold under the part before it, so that anti joins find something.
 Keys are expressions of source columns, so no row has to be numbered.
 """
 
@@ -23,16 +23,15 @@ from tallymart.sources.generate import date_rows
 from tallymart.sources.star import Star
 
 # Fixed values of the derived mart.
-CALENDAR = (date(1995, 1, 1), date(2001, 12, 31))
 EPOCH = date(1995, 1, 1)
 HANDOVER = date(1998, 1, 1)
-JOB_TITLES = ("Sales Representative", "Senior Sales Representative", "Account Executive", "Key Account Manager")
-GROUPS = ("Group A", "Group B", "Group C", "Group D")
+JOB_TITLES = ("Rep grade 1", "Rep grade 2", "Rep grade 3", "Rep grade 4")
+GROUPS = ("A", "B", "C", "D")
 STATUSES = ("Active", "Inactive", "Prospect")
 TIERS = ("Gold", "Silver", "Bronze")
-TERMS = ("Net 30", "Net 45", "Net 60", "Prepaid")
+TERMS = ("30 days", "45 days", "60 days", "In advance")
 OPEN_STATES = ("Pending", "Confirmed", "Cancelled")
-REASONS = ("Damaged item", "Late delivery", "Wrong item delivered", "Customer changed mind", "Defective item")
+REASONS = ("Broken", "Late", "Other item", "Not wanted", "Faulty")
 CORE_TYPES = ("ECONOMY", "STANDARD")
 COST_FACTORS = {"PROMO": "2.4", "LARGE": "2.2"}
 KEY_PRIME = 2147483647
@@ -45,12 +44,6 @@ def pick(index: Column, values: tuple[str, ...]) -> Column:
     return F.element_at(F.array(*[F.lit(v) for v in values]), (index + 1).cast("int"))
 
 
-def spare(key: str) -> Column:
-    """The key a row counts under: every hundredth key gives its rows to the one before."""
-    k = F.col(key)
-    return k - (k % 100 == 99).cast("bigint")
-
-
 def hundredths(amount: Column) -> Column:
     """A non-negative amount held as double, in whole hundredths."""
     return F.floor(amount * 100 + 0.5)
@@ -66,16 +59,17 @@ def as_money(cents: Column) -> Column:
 
 
 def type_key(p_type: Column) -> Column:
-    """Category key: 28 bits of a digest of the type name."""
-    return F.conv(F.substring(F.md5(p_type), 1, 7), 16, 10).cast("int")
+    """Category key: 60 bits of a digest of the type name."""
+    return F.conv(F.substring(F.md5(p_type), 1, 15), 16, 10).cast("bigint")
 
 
 class ConformedStar(Star):
     """The star over one directory of order-processing parquet files."""
 
-    def __init__(self, spark: SparkSession, path: str):
+    def __init__(self, spark: SparkSession, path: str, spare_keys: bool = False):
         self._spark = spark
         self._path = path
+        self._spare_keys = spare_keys
         self._files: dict[str, DataFrame] = {}
         super().__init__({t: getattr(self, f"_{t}") for t in schema.TABLES})
 
@@ -88,6 +82,19 @@ class ConformedStar(Star):
     def _rep_count(self) -> Column:
         return self._read("supplier").select(F.count(F.lit(1))).scalar()
 
+    def _spare(self, key: str) -> Column:
+        """The key a row counts under; with spare keys every hundredth gives its rows to the one before."""
+        k = F.col(key)
+        return k - (k % 100 == 99).cast("bigint") if self._spare_keys else k
+
+    @cached_property
+    def _calendar(self) -> tuple[Column, Column]:
+        """First and last day of the years in which there are orders."""
+        orders = self._read("orders")
+        first = orders.select(F.year(F.min("o_orderdate"))).scalar()
+        last = orders.select(F.year(F.max("o_orderdate"))).scalar()
+        return F.make_date(first, F.lit(1), F.lit(1)), F.make_date(last, F.lit(12), F.lit(31))
+
     def _base_rep(self, custkey: Column) -> Column:
         """The rep an account belongs to: nine tenths of the reps hold accounts."""
         return custkey % F.floor(self._rep_count * 9 / 10) + 1
@@ -109,11 +116,11 @@ class ConformedStar(Star):
             type_key(F.col("p_type")).alias("category_id"),
             F.col("p_type").alias("category_name"),
             F.when(F.col("p_type").isin(*CORE_TYPES), "Core").otherwise("Extended").alias("segment_name"),
-            F.lit(None).cast("int").alias("parent_category_id"),
+            F.lit(None).cast("bigint").alias("parent_category_id"),
         )
 
     def _dim_date(self) -> DataFrame:
-        return date_rows(self._spark, *CALENDAR)
+        return date_rows(self._spark, *self._calendar)
 
     def _dim_sales_reps(self) -> DataFrame:
         key = F.col("s_suppkey")
@@ -234,7 +241,7 @@ class ConformedStar(Star):
 
     def _fact_sales_orders(self) -> DataFrame:
         order_id = F.col("o_orderkey") + 1
-        account = spare("o_custkey")
+        account = self._spare("o_custkey")
         ordered = F.col("o_orderdate").cast("date")
         status = (
             F.when(F.col("o_orderstatus") == "F", "Delivered")
@@ -261,47 +268,45 @@ class ConformedStar(Star):
     def _line_key() -> Column:
         """The order id and a 62-bit digest of the line's other columns.
 
-        Two multiply-and-add hashes in plain integer arithmetic; a collision
-        would have to fall inside one order.
+        Two multiply-and-add hashes in plain integer arithmetic, each part
+        reduced first, so no value overflows; a collision would have to fall
+        inside one order.
         """
-        small = F.col("l_linenumber").cast("bigint")
-        for value, radix in (
-            (F.col("l_quantity").cast("bigint"), 1000),
-            (hundredths(F.col("l_discount") * 100), 10001),
-            (hundredths(F.col("l_tax") * 100), 10001),
-            (F.ascii("l_returnflag"), 128),
-            (F.ascii("l_linestatus"), 128),
-        ):
-            small = small * radix + value
         parts = [
             F.col("l_partkey"),
             F.col("l_suppkey"),
             hundredths(F.col("l_extendedprice")),
-            small,
+            F.col("l_linenumber").cast("bigint"),
+            hundredths(F.col("l_quantity")),
+            hundredths(F.col("l_discount") * 100),
+            hundredths(F.col("l_tax") * 100),
+            F.ascii("l_returnflag"),
+            F.ascii("l_linestatus"),
             F.unix_date(F.col("l_shipdate").cast("date")),
         ]
         digests = []
         for factor in KEY_FACTORS:
             digest = F.lit(0).cast("bigint")
             for part in parts:
-                digest = (digest * factor + part) % KEY_PRIME
+                digest = (digest * factor + part % KEY_PRIME) % KEY_PRIME
             digests.append(digest)
         return F.concat_ws("-", F.col("l_orderkey") + 1, digests[0] * KEY_PRIME + digests[1])
 
     @cached_property
     def _undated_lines(self) -> DataFrame:
         """Lines without their date, which is the order's."""
-        quantity = F.col("l_quantity").cast("int")
+        # Whole units, rounded half-up; the price divides by the quantity as it is.
+        quantity = hundredths(F.col("l_quantity"))
         gross, rate = hundredths(F.col("l_extendedprice")), hundredths(F.col("l_discount") * 100)
         return self._read("lineitem").select(
             self._line_key().alias("line_item_id"),
-            quantity.alias("quantity"),
-            as_money(divided(gross, quantity)).alias("unit_price"),
+            F.floor(F.col("l_quantity") + 0.5).cast("int").alias("quantity"),
+            as_money(divided(gross * 100, F.nullif(quantity, F.lit(0)))).alias("unit_price"),
             F.col("l_discount").cast("decimal(5,4)").alias("discount"),
             as_money(gross).alias("gross_amount"),
             as_money(divided(gross * (10000 - rate), F.lit(10000))).alias("net_amount"),
             (F.col("l_orderkey") + 1).alias("order_id"),
-            (spare("l_partkey") + 1).alias("product_id"),
+            (self._spare("l_partkey") + 1).alias("product_id"),
             F.col("l_linenumber").alias("line_number"),
             F.col("l_returnflag").alias("return_flag"),
         )
@@ -310,7 +315,8 @@ class ConformedStar(Star):
         return self["fact_sales_orders"].select("order_id", "order_date")
 
     def _fact_order_line_items(self) -> DataFrame:
-        dated = self._undated_lines.join(self._order_dates(), "order_id")
+        # a line without its order stays, without a date
+        dated = self._undated_lines.join(self._order_dates(), "order_id", "left")
         return dated.withColumnRenamed("order_date", "line_date").select(*schema.columns_of("fact_order_line_items"))
 
     @cached_property
@@ -333,25 +339,27 @@ class ConformedStar(Star):
                 pick((F.col("order_id") + F.col("line_number")) % 5, REASONS).alias("return_reason"),
                 "line_item_id",
                 "order_id",
+                "product_id",
             )
         )
 
     def _fact_returns(self) -> DataFrame:
-        dated = self._undated_returns.join(self._order_dates(), "order_id")
+        dated = self._undated_returns.join(self._order_dates(), "order_id", "left")
         return dated.withColumnRenamed("order_date", "return_date").select(*schema.columns_of("fact_returns"))
 
     def _fact_quotas(self) -> DataFrame:
         """A monthly quota per rep for every month of the calendar."""
         rep = F.col("s_suppkey") + 1
-        first, last = (F.lit(d) for d in CALENDAR)
+        first, last = self._calendar
         months = self._read("supplier").select(
             rep.alias("sales_rep_id"),
+            F.year(first).alias("first_year"),
             F.explode(F.sequence(first, last, F.make_interval(months=F.lit(1)))).alias("quota_date"),
         )
         rep, y, m = F.col("sales_rep_id"), F.year("quota_date"), F.month("quota_date")
         amount = (18000 + rep % 100 * 120 + m * 150 + (y - 1995) * 500) * 25
         return months.select(
-            (rep * 1000 + (y - 1995) * 12 + m).alias("quota_id"),
+            (rep * 1000 + (y - F.col("first_year")) * 12 + m).alias("quota_id"),
             amount.cast(MONEY).alias("quota_amount"),
             "sales_rep_id",
             "quota_date",
@@ -370,8 +378,13 @@ class ConformedStar(Star):
             return super().returns(*cols)
         return self._undated_returns.select(*cols)
 
-    def with_order(self, lines: DataFrame) -> DataFrame:
-        return super().with_order(lines).withColumn("line_date", F.col("order_date"))
+    def returned_values(self, *keys: str, **sums: Column) -> DataFrame:
+        """A return comes from its line here and knows its order and product."""
+        grouped = self._undated_returns.groupBy("order_id", "product_id", *keys)
+        return grouped.agg(*[c.alias(n) for n, c in sums.items()])
+
+    def with_order(self, lines: DataFrame, orders: DataFrame | None = None) -> DataFrame:
+        return super().with_order(lines, orders).withColumn("line_date", F.col("order_date"))
 
     def bare_lines(self) -> DataFrame:
         return self._undated_lines.drop("line_number", "return_flag")
@@ -380,6 +393,6 @@ class ConformedStar(Star):
         return self.order_values(prepare, **sums).withColumn("line_date", F.col("order_date"))
 
 
-def conform(spark: SparkSession, path: str) -> ConformedStar:
+def conform(spark: SparkSession, path: str, spare_keys: bool = False) -> ConformedStar:
     """The star over the order-processing parquet files under ``path``."""
-    return ConformedStar(spark, path)
+    return ConformedStar(spark, path, spare_keys)

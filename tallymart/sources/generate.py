@@ -63,28 +63,26 @@ SEGMENTS = {
         "Docking Solutions",
     ),
 }
-REP_FIRST = "Anna Lukas Sophie Julien Eva Markus Noah Claire Daan Femke".split()
-REP_LAST = "Keller Weber Martin Bernard Gruber Hofer Meier Dubois Visser Jansen".split()
+REP_FIRST = ["Ari", "Bela", "Caro", "Dani", "Eli", "Fay", "Gil", "Hana", "Ivo", "Jona"]
+REP_LAST = ["Ahorn", "Birke", "Ceder", "Distel", "Eibe", "Farn", "Ginster", "Holder", "Iris", "Jasmin"]
 JOB_TITLES = ["Sales Representative", "Senior Sales Representative", "Account Executive", "Key Account Manager"]
-BUYER_FIRST = (
-    "Liam Noah Oliver Elijah James William Benjamin Lucas Henry Alexander Emma Olivia Ava Sophia Isabella".split()
-)
-BUYER_LAST = (
-    "Smith Johnson Williams Brown Jones Garcia Miller Davis Rodriguez Martinez Anderson Taylor Thomas "
-    "Hernandez Moore".split()
-)
+BUYER_FIRST = ["Kim", "Lou", "Max", "Nic", "Ola", "Pat", "Quin", "Ray", "Sam", "Toni", "Uli", "Val", "Wil", "Yuri", "Zoe"]
+BUYER_LAST = [
+    "Adler", "Buchfink", "Drossel", "Elster", "Falke", "Gans", "Habicht", "Ibis", "Kranich", "Lerche", "Meise",
+    "Reiher", "Specht", "Taube", "Zeisig",
+]
 CUSTOMER_TYPES = ["Corporate", "SME", "Enterprise"]
 CUSTOMER_GROUPS = ["Group A", "Group B", "Group C", "Group D"]
 CUSTOMER_STATUSES = ["Active", "Inactive", "Prospect"]
-LINES_OF_GOODS = "Pro Plus Max Core Ultra Smart Prime Elite".split()
+LINES_OF_GOODS = ["Pro", "Plus", "Max", "Core", "Ultra", "Smart", "Prime", "Elite"]
 DEAR_LINES = ("Pro", "Max")
-GOODS = "Press Helmet Paper Pen Laptop Monitor Dock Router".split()
+GOODS = ["Press", "Helmet", "Paper", "Pen", "Laptop", "Monitor", "Dock", "Router"]
 PRODUCT_TYPES = ["Industrial Machine", "Protective Gear", "Consumable", "Stationery", "Laptop", "Accessory"]
-BRANDS = "NordaTech SafeGuard OfficeCore WriteLine TechNova Connectix".split()
+BRANDS = ["Brand A", "Brand B", "Brand C", "Brand D", "Brand E", "Brand F"]
 PROMOTION_RATES = ["0.05", "0.07", "0.10", "0.12", "0.15"]
 PAYMENT_TERMS = ["Net 30", "Net 45", "Net 60", "Prepaid"]
 CHANNELS = ["Direct", "Dealer"]
-SALES_ORG = "NordaTrade EU"
+SALES_ORG = "Main"
 RETURN_REASONS = ["Damaged item", "Late delivery", "Wrong item delivered", "Customer changed mind", "Defective item"]
 CALENDAR_START = date(2021, 1, 1)
 TRADING_START = date(2022, 1, 1)
@@ -140,7 +138,7 @@ def gen_categories(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame([(i, *r, None) for i, r in enumerate(rows, 1)], schema.schema_of("dim_categories"))
 
 
-def date_rows(spark: SparkSession, start: date, end: date) -> DataFrame:
+def date_rows(spark: SparkSession, start: date | Column, end: date | Column) -> DataFrame:
     """One row per day, both ends included."""
     d = F.col("full_date")
     days = spark.range(1).select(F.explode(F.sequence(F.lit(start), F.lit(end))).alias("full_date"))
@@ -223,7 +221,7 @@ def gen_products(spark: SparkSession, n: int = 200, categories: int = 18) -> Dat
         (cost * markup).cast(MONEY).alias("list_price"),
         F.lit(CALENDAR_START).alias("valid_from"),
         _no_date().alias("valid_to"),
-        ((i - 1) % categories + 1).cast("int").alias("category_id"),
+        ((i - 1) % categories + 1).cast("bigint").alias("category_id"),
     )
 
 

@@ -9,7 +9,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallymart import schema
-from tallymart.operators.lookup import lookup
 
 TableSource = DataFrame | Callable[[], DataFrame]
 
@@ -32,7 +31,6 @@ class Star:
             raise ValueError(f"star lacks tables: {', '.join(missing)}")
         self._sources = dict(tables)
         self._tables: dict[str, DataFrame] = {}
-        self._lookups: dict[str, DataFrame] = {}
 
     def __getitem__(self, name: str) -> DataFrame:
         if name not in self._tables:
@@ -40,12 +38,6 @@ class Star:
             self._tables[name] = source if isinstance(source, DataFrame) else source()
         return self._tables[name]
 
-    def lookup(self, name: str) -> DataFrame:
-        """A dimension for a broadcast join, its size checked once."""
-        if name not in self._lookups:
-            self._lookups[name] = lookup(self[name])
-        return self._lookups[name]
-
     # -- facts ---------------------------------------------------------------
 
     def lines(self, *cols: str) -> DataFrame:
@@ -56,9 +48,9 @@ class Star:
         """Returns with the given columns."""
         return self["fact_returns"].select(*cols)
 
-    def with_order(self, lines: DataFrame) -> DataFrame:
-        """Attach order columns to rows of ``bare_lines``; the result holds ``line_date``."""
-        return lines.join(self["fact_sales_orders"], "order_id")
+    def with_order(self, lines: DataFrame, orders: DataFrame | None = None) -> DataFrame:
+        """Attach columns of all or the given orders to rows of ``bare_lines``; the result holds ``line_date``."""
+        return lines.join(self["fact_sales_orders"] if orders is None else orders, "order_id")
 
     def order_lines(self) -> DataFrame:
         """Every line with its order's columns."""
@@ -68,6 +60,17 @@ class Star:
         """Lines that are yet to meet their order; need not hold the line date."""
         return self["fact_order_line_items"]
 
+    def returned_values(self, *keys: str, **sums: Column) -> DataFrame:
+        """Sums over returns per line or coarser, with the line's order and product and the given return columns.
+
+        Returns are summed per line before they meet the lines.
+        """
+        needed = [c for c in schema.columns_of("fact_returns") if c != "return_id"]
+        per_line = self["fact_returns"].select(*needed).groupBy("line_item_id", *keys)
+        per_line = per_line.agg(*[c.alias(n) for n, c in sums.items()])
+        lines = self["fact_order_line_items"].select("line_item_id", "order_id", "product_id", "line_date")
+        return per_line.join(lines, "line_item_id")
+
     def sales_of(self, per_line: DataFrame) -> DataFrame:
         """Attach line and order columns to rows keyed by ``line_item_id``.
 
@@ -101,7 +104,7 @@ class Star:
 
     def with_region(self, df: DataFrame, *cols: str) -> DataFrame:
         """Attach region columns by ``region_id``, which is used up."""
-        regions = self.lookup("dim_regions").select("region_id", *cols)
+        regions = self["dim_regions"].select("region_id", *cols)
         return df.join(regions, "region_id").drop("region_id")
 
     def with_customer_geo(self, df: DataFrame, *cols: str, customer: tuple[str, ...] = ()) -> DataFrame:
@@ -118,7 +121,7 @@ class Star:
 
     def with_category(self, df: DataFrame, *cols: str) -> DataFrame:
         """Attach category columns by ``category_id``, which is used up."""
-        categories = self.lookup("dim_categories").select("category_id", *cols)
+        categories = self["dim_categories"].select("category_id", *cols)
         return df.join(categories, "category_id").drop("category_id")
 
     def with_product_category(self, df: DataFrame, *product: str) -> DataFrame:
@@ -146,7 +149,7 @@ def load_star(spark: SparkSession, path: str) -> Star:
         def plan() -> DataFrame:
             df = spark.read.parquet(os.path.join(path, table))
             if any(c in df.columns for c in DATE_IDS.get(table, {})):
-                calendar = lookup(spark.read.parquet(os.path.join(path, "dim_date")))
+                calendar = spark.read.parquet(os.path.join(path, "dim_date"))
                 df = _real_dates(table, df, calendar)
             declared = schema.schema_of(table)
             return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in declared])

@@ -7,7 +7,8 @@ import pytest
 import __spark_entry__ as entry
 from tests.compare import differences, oracle
 
-QUERIES, STATEMENTS = entry.queries(), entry.oracle_sql()
+STATEMENTS = entry.STATEMENTS
+QUERIES = {n: q for n, q in entry.queries().items() if n not in entry.LLM_QUERIES}
 
 
 @pytest.fixture(scope="module")

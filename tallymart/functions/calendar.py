@@ -3,7 +3,7 @@ join to the date dimension to read a year or a month name."""
 
 from __future__ import annotations
 
-from datetime import date
+from datetime import date, timedelta
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -40,6 +40,12 @@ def in_quarter(d: str, y: int, q: int) -> Column:
     return (F.col(d) >= F.lit(first)) & (F.col(d) < F.lit(following))
 
 
+def quarter_days(y: int, q: int) -> tuple[date, date]:
+    """First and last day of a quarter."""
+    following = date(y + 1, 1, 1) if q == 4 else date(y, 3 * q + 1, 1)
+    return date(y, 3 * q - 2, 1), following - timedelta(days=1)
+
+
 def months_before(as_of: date, n: int) -> Column:
     """The day ``n`` months before; a month end clips."""
     return F.add_months(F.lit(as_of), -n)

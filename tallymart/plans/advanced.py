@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -18,7 +20,7 @@ def rfm_segmentation(star: Star, p: ReportParams) -> DataFrame:
     """Recency, orders and spend of the trailing year, and the segment they give."""
     t = p.recency
     per_customer = (
-        star.order_values(net=total("net_amount"))
+        star.order_values(since=cal.months_before(p.as_of, 12), net=total("net_amount"))
         # The clock has a time of day, so the day exactly one year back is out.
         .filter(F.col("order_date") > cal.months_before(p.as_of, 12))
         .groupBy("customer_id")
@@ -142,7 +144,8 @@ def rep_attainment_rank(star: Star, p: ReportParams, corrected: bool = False) ->
 
 def top_customer_per_country(star: Star, p: ReportParams) -> DataFrame:
     """The customer with most revenue per country this year; ties go to the lower id."""
-    this_year = star.order_values(net=total("net_amount")).filter(cal.in_year("order_date", p.as_of.year))
+    first, last = date(p.as_of.year, 1, 1), date(p.as_of.year, 12, 31)
+    this_year = star.order_values(since=first, until=last, net=total("net_amount"))
     revenue = this_year.groupBy("customer_id").agg(total("net").alias("total_revenue"))
     named = star.with_customer_geo(revenue, "country_name", customer=("customer_code", "account_tier"))
     by_revenue = Window.partitionBy("country_name").orderBy(F.desc("total_revenue"), "customer_id")

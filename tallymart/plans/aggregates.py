@@ -361,9 +361,8 @@ def low_margin_high_return_categories(star: Star, p: ReportParams) -> DataFrame:
 
 def frequent_low_value_customers(star: Star, p: ReportParams) -> DataFrame:
     """Customers with many orders of low average value in the year before ``as_of``."""
-    trailing = star.order_values(net=total("net_amount")).filter(
-        (F.col("order_date") >= cal.months_before(p.as_of, 12)) & (F.col("order_date") < F.lit(p.as_of))
-    )
+    trailing = star.order_values(since=cal.months_before(p.as_of, 12), until=p.as_of, net=total("net_amount"))
+    trailing = trailing.filter(F.col("order_date") < F.lit(p.as_of))
     frequent = (
         trailing.groupBy("customer_id")
         .agg(F.count(F.lit(1)).alias("total_orders"), total("net").alias("total_revenue"))

@@ -37,9 +37,9 @@ def gold_customers_in_country(star: Star, p: ReportParams) -> DataFrame:
 
 def open_orders_q3(star: Star, p: ReportParams) -> DataFrame:
     """Orders of one quarter of last year that are not fully delivered, with their value."""
-    open_orders = star.order_values(total_order_value=total("net_amount")).filter(
-        cal.in_quarter("order_date", p.last_year, p.quarter) & F.col("order_status").isin(*p.open_statuses)
-    )
+    first, last = cal.quarter_days(p.last_year, p.quarter)
+    in_quarter = star.order_values(since=first, until=last, total_order_value=total("net_amount"))
+    open_orders = in_quarter.filter(F.col("order_status").isin(*p.open_statuses))
     return (
         star.with_customer(open_orders, "customer_code")
         .select("order_id", "customer_code", "order_date", "order_status", "total_order_value")

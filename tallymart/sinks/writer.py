@@ -1,4 +1,4 @@
-"""Writing the mart: full reload, physical layout, view registration and snapshots."""
+"""Writing the mart: full reload, physical layout, view registration, publication and snapshots."""
 
 from __future__ import annotations
 
@@ -11,8 +11,9 @@ from pyspark.sql import functions as F
 
 from tallymart import schema
 from tallymart.params import ReportParams
+from tallymart.plans.quality import dq_over_returned_lines, dq_overlapping_assignments
 from tallymart.plans.views import TIERS, VIEWS
-from tallymart.sources.star import Star
+from tallymart.sources.star import Day, Star
 
 # Parents before children, so that a reader never sees a child without its parent table.
 LOAD_ORDER = (
@@ -52,29 +53,64 @@ CLUSTERING: dict[str, tuple[str, tuple[str, ...]]] = {
 }
 
 
-def layout_tables(star: Star, database: str, path: str, buckets: int = 200) -> None:
-    """Write the mart as catalog tables, the large ones bucketed and sorted by their join key.
+# Tables kept in a folder per month, and the date whose month it is; lines go by their order's.
+MONTHLY = {"fact_sales_orders": "order_date", "fact_order_line_items": "order_date", "fact_quotas": "quota_date"}
+MONTH = "layout_month"
+# A line without its order.
+NO_MONTH = date(1000, 1, 1)
 
-    Rows are sent to their bucket before the write, so a bucket is one file and
-    not one file per task.  A hot key makes its bucket large; reads split the
-    file by row group, and reports sum per key before they shuffle.
+
+def layout_tables(star: Star, database: str, path: str, buckets: int) -> None:
+    """Write the mart as catalog tables: facts by month, the large tables bucketed and sorted by their join key.
+
+    ``buckets`` is for the size of the mart: a bucket of a month should be some
+    hundred MB.  Rows are sent to their bucket before the write, so a bucket is
+    one file a month and not one file per task.
     """
     spark = star["dim_regions"].sparkSession
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
     for table in LOAD_ORDER:
         df = star[table].select(*schema.columns_of(table))
+        if table in MONTHLY:
+            if MONTHLY[table] not in df.columns:
+                df = df.join(star["fact_sales_orders"].select("order_id", MONTHLY[table]), "order_id", "left")
+            month = F.coalesce(F.trunc(MONTHLY[table], "month"), F.lit(NO_MONTH))
+            df = df.select(*schema.columns_of(table), month.alias(MONTH))
         writer = df.write
         if table in CLUSTERING:
             key, order = CLUSTERING[table]
             writer = df.repartition(buckets, key).write.bucketBy(buckets, key).sortBy(*order)
+        writer = writer.partitionBy(MONTH) if table in MONTHLY else writer
         writer.mode("overwrite").format("parquet").option("path", os.path.join(path, table)).saveAsTable(
             f"{database}.{table}"
         )
 
 
+class LaidOutStar(Star):
+    """The star over catalog tables; bounds of the order date prune the months of orders and lines."""
+
+    def __init__(self, spark: SparkSession, database: str):
+        self._table = lambda t: spark.table(f"{database}.{t}")
+        super().__init__({t: (lambda t=t: self._table(t).select(*schema.columns_of(t))) for t in schema.TABLES})
+
+    def _months(self, table: str, since: Day | None, until: Day | None) -> DataFrame:
+        df = self._table(table)
+        df = df if since is None else df.filter(F.col(MONTH) >= F.trunc(F.lit(since), "month"))
+        df = df if until is None else df.filter(F.col(MONTH) <= F.lit(until))
+        return df.select(*schema.columns_of(table))
+
+    def orders_dated(self, since: Day | None = None, until: Day | None = None) -> DataFrame:
+        orders = self._months("fact_sales_orders", since, until)
+        orders = orders if since is None else orders.filter(F.col("order_date") >= F.lit(since))
+        return orders if until is None else orders.filter(F.col("order_date") <= F.lit(until))
+
+    def lines_dated(self, since: Day | None = None, until: Day | None = None) -> DataFrame:
+        return self._months("fact_order_line_items", since, until)
+
+
 def load_layout(spark: SparkSession, database: str) -> Star:
     """The star over the catalog tables ``layout_tables`` wrote."""
-    return Star({t: (lambda t=t: spark.table(f"{database}.{t}")) for t in schema.TABLES})
+    return LaidOutStar(spark, database)
 
 
 def drop_layout(spark: SparkSession, database: str) -> None:
@@ -106,24 +142,45 @@ def drop_views(spark: SparkSession) -> list[str]:
     return dropped
 
 
-# View, is it kept as a snapshot, when it is refreshed, how old it may be.
-REFRESH: tuple[tuple[str, bool, str, str], ...] = (
-    ("vw_sales_executive_summary", True, "daily", "24 hours"),
-    ("vw_customer_360", True, "nightly", "24 hours"),
-    ("vw_product_performance", True, "nightly", "24 hours"),
-    ("vw_rep_performance_scorecard", True, "daily", "same business day"),
-    ("vw_monthly_trend", False, "on read", "none"),
-    ("vw_returns_analysis", False, "on read", "none"),
+# View, when it is refreshed, how many days old its snapshot may be; a plain view keeps none.
+REFRESH: tuple[tuple[str, str, int | None], ...] = (
+    ("vw_sales_executive_summary", "daily", 1),
+    ("vw_customer_360", "nightly", 1),
+    ("vw_product_performance", "nightly", 1),
+    ("vw_rep_performance_scorecard", "daily", 0),
+    ("vw_monthly_trend", "on read", None),
+    ("vw_returns_analysis", "on read", None),
 )
-SNAPSHOTS = tuple(name for name, kept, _, _ in REFRESH if kept)
+SNAPSHOTS = tuple(name for name, _, days in REFRESH if days is not None)
+
+# What must be settled before a view is published.
+GATES = {
+    "vw_rep_performance_scorecard": ("dq_overlapping_assignments", dq_overlapping_assignments),
+    "vw_product_performance": ("dq_over_returned_lines", dq_over_returned_lines),
+}
+
+
+class PublicationBlocked(RuntimeError):
+    """A check that gates a view has findings."""
 
 
-def materialize_views(star: Star, p: ReportParams, path: str, names: Iterable[str] = SNAPSHOTS) -> list[str]:
+class StaleSnapshot(LookupError):
+    """No snapshot is as young as the view's tolerance asks."""
+
+
+def materialize_views(
+    star: Star, p: ReportParams, path: str, names: Iterable[str] = SNAPSHOTS, gated: bool = True
+) -> list[str]:
     """Write a snapshot of each view under ``path/<view>/as_of=<day>``.
 
-    Only the day's own partition is replaced; earlier snapshots stay.
+    Only the day's own partition is replaced; earlier snapshots stay.  Nothing
+    is written while a check that gates one of the views has findings.
     """
-    written = []
+    names, written = list(names), []
+    for name in names if gated else ():
+        check, run = GATES.get(name, (None, None))
+        if check and not run(star, p).isEmpty():
+            raise PublicationBlocked(f"{name} waits until {check} is empty")
     for name in names:
         target = os.path.join(path, name)
         snapshot = VIEWS[name](star, p).withColumn("as_of", F.lit(p.as_of))
@@ -132,6 +189,16 @@ def materialize_views(star: Star, p: ReportParams, path: str, names: Iterable[st
     return written
 
 
+def read_current(spark: SparkSession, path: str, name: str, today: date) -> DataFrame:
+    """The newest snapshot of a view, which must be no older than the view's tolerance."""
+    tolerance = {n: days for n, _, days in REFRESH}[name]
+    found = spark.read.parquet(os.path.join(path, name)).filter(F.col("as_of") <= F.lit(today))
+    newest = found.agg(F.max("as_of")).first()[0]
+    if newest is None or (today - newest).days > tolerance:
+        raise StaleSnapshot(f"the newest snapshot of {name} is of {newest}; it may be {tolerance} days old")
+    return read_snapshot(spark, path, name, newest)
+
+
 def read_snapshot(spark: SparkSession, path: str, name: str, as_of: date) -> DataFrame:
-    """One snapshot of a view."""
+    """One snapshot of a view, of any age."""
     return spark.read.parquet(os.path.join(path, name)).filter(F.col("as_of") == F.lit(as_of)).drop("as_of")

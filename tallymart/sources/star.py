@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 from collections.abc import Callable, Mapping
+from datetime import date
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,6 +12,7 @@ from pyspark.sql import functions as F
 from tallymart import schema
 
 TableSource = DataFrame | Callable[[], DataFrame]
+Day = date | Column
 
 # Date-id columns of a mart that keys its facts to the date dimension, and the
 # real date each one becomes.
@@ -78,16 +80,32 @@ class Star:
         """
         return self.with_order(per_line.join(self.bare_lines(), "line_item_id"))
 
-    def order_values(self, prepare: Callable[[DataFrame], DataFrame] | None = None, **sums: Column) -> DataFrame:
+    def orders_dated(self, since: Day | None = None, until: Day | None = None) -> DataFrame:
+        """Orders of the days from ``since`` to ``until``."""
+        orders = self["fact_sales_orders"]
+        orders = orders if since is None else orders.filter(F.col("order_date") >= F.lit(since))
+        return orders if until is None else orders.filter(F.col("order_date") <= F.lit(until))
+
+    def lines_dated(self, since: Day | None = None, until: Day | None = None) -> DataFrame:
+        """Bare lines, at least those of orders of these days; a layout by month leaves out other months."""
+        return self.bare_lines()
+
+    def order_values(
+        self,
+        prepare: Callable[[DataFrame], DataFrame] | None = None,
+        since: Day | None = None,
+        until: Day | None = None,
+        **sums: Column,
+    ) -> DataFrame:
         """One row per order that has lines: order columns and sums over the lines.
 
         Lines are summed per order before the join, so an order with very many
-        lines reaches the join as one row.
+        lines reaches the join as one row.  ``since`` and ``until`` bound the order date.
         """
-        lines = self.bare_lines()
+        lines = self.lines_dated(since, until)
         lines = prepare(lines) if prepare else lines
         per_order = lines.groupBy("order_id").agg(*[c.alias(n) for n, c in sums.items()])
-        return per_order.join(self["fact_sales_orders"], "order_id")
+        return per_order.join(self.orders_dated(since, until), "order_id")
 
     def dated_values(self, prepare: Callable[[DataFrame], DataFrame] | None = None, **sums: Column) -> DataFrame:
         """As ``order_values`` but one row per order and line date."""

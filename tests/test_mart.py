@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from datetime import date
+import re
+from datetime import date, timedelta
 from decimal import Decimal
 
 import pytest
@@ -209,3 +210,38 @@ def test_generator_repeats_and_scales(spark):
     assert big["fact_order_line_items"].count() == 50000
     assert big["fact_returns"].count() == 2000
     assert quality.dq_foreign_key(big, P).filter("violations > 0").count() == 0
+
+
+def test_layout_prunes_months(spark, star, tmp_path):
+    """A report of one quarter reads that quarter's folders of orders and lines only."""
+    writer.layout_tables(star, "monthly", str(tmp_path), buckets=2)
+    try:
+        laid = writer.load_layout(spark, "monthly")
+        for table in schema.TABLES:
+            assert laid[table].count() == star[table].count()
+        report = basic.open_orders_q3(laid, P)
+        assert sorted(report.collect()) == sorted(basic.open_orders_q3(star, P).collect())
+        plan = report._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+        pruned = [f for f in re.findall(r"PartitionFilters: \[([^\]]*)\]", plan) if writer.MONTH in f]
+        assert len(pruned) == 2 and all(f">= {P.last_year}-07-01" in f for f in pruned)
+    finally:
+        writer.drop_layout(spark, "monthly")
+
+
+def test_a_stale_snapshot_is_refused(spark, star, tmp_path):
+    path = str(tmp_path)
+    writer.materialize_views(star, P, path, ["vw_rep_performance_scorecard", "vw_product_performance"])
+    for name, days in (("vw_rep_performance_scorecard", 0), ("vw_product_performance", 1)):
+        assert writer.read_current(spark, path, name, AS_OF + timedelta(days=days)).count() > 0
+        with pytest.raises(writer.StaleSnapshot):
+            writer.read_current(spark, path, name, AS_OF + timedelta(days=days + 1))
+
+
+def test_open_findings_hold_back_the_scorecard(spark, star, tmp_path):
+    windows = star["rep_customer_assignments"]
+    twice = windows.unionByName(windows.withColumn("assignment_id", F.col("assignment_id") + 10**6))
+    broken = Star({t: star[t] for t in schema.TABLES} | {"rep_customer_assignments": twice})
+    with pytest.raises(writer.PublicationBlocked):
+        writer.materialize_views(broken, P, str(tmp_path), ["vw_product_performance", "vw_rep_performance_scorecard"])
+    assert not list(tmp_path.iterdir())
+    writer.materialize_views(broken, P, str(tmp_path), ["vw_rep_performance_scorecard"], gated=False)

@@ -7,7 +7,7 @@ import pytest
 import __spark_entry__ as entry
 from tests.compare import differences, oracle
 
-STATEMENTS = entry.STATEMENTS
+STATEMENTS = {n: s for n, s in entry.oracle_sql().items() if n not in entry.LLM_QUERIES}
 QUERIES = {n: q for n, q in entry.queries().items() if n not in entry.LLM_QUERIES}
 
 

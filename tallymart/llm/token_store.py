@@ -14,17 +14,19 @@ import json
 import uuid
 import zlib
 from array import array
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 
+import numpy as np
 import pyarrow as pa
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
+from tokenizers.pre_tokenizers import WhitespaceSplit
 
-from tallymart.llm.bpe import Memo, WordSplitter, byte_letters
+from tallymart.llm.bpe import MEMO_CHARS, WordSplitter, byte_letters
 from tallymart.llm.shared import map_batches, shared_folder, whole_text
 
 SAMPLE = 2000  # documents that the dictionary is trained on
@@ -34,6 +36,7 @@ LEVEL = 3
 PACK_DOCS = 256
 PACK_BYTES = 1 << 20  # of ids; a longer document fills a pack alone
 END_ID = 1
+MEMO = 400_000  # words whose ids a worker remembers
 PACK = (
     "shard int, first_token long, tokens long, dictionary string, doc_ids array<long>, counts array<long>,"
     " offsets array<long>, payload binary"
@@ -44,27 +47,41 @@ class IdWriter:
     """Ids of whole texts as bytes; each new word is encoded by the tokenizers library and remembered."""
 
     def __init__(self, path: str):
-        self.library = Tokenizer.from_file(path)
         with open(path, encoding="utf-8") as file:
             self.split = WordSplitter(json.load(file), path)
-        letters = byte_letters()
-
-        def make(word: str) -> bytes:
-            piece = "".join([letters[b] for b in word.encode()])
-            return array("I", [t.id for t in self.library.model.tokenize(piece)]).tobytes()
-
-        self.known = Memo(make)
-
-    def parts(self, text: str) -> Iterator[bytes]:
-        for i, part in enumerate(self.split.parts(text)):
-            if i % 2:
-                yield self.split.special[part].to_bytes(4, "little")
-            else:
-                yield from map(self.known.__getitem__, self.split.words(part))
+        self.library = Tokenizer(self.split.library.model)  # for words that are split and normalised already
+        self.library.pre_tokenizer = WhitespaceSplit()
+        self.letter = str.maketrans({chr(b): c for b, c in enumerate(byte_letters())})
+        self.known: dict[str, bytes] = {}
+
+    def learn(self, words: list[str]) -> dict[str, bytes]:
+        """Ids of new words, encoded at once; short ones are remembered."""
+        text = " ".join([w.encode().decode("latin-1").translate(self.letter) for w in words])
+        found = self.library.encode(text, add_special_tokens=False)
+        ids = np.array(found.ids, "<u4")
+        edges = np.flatnonzero(np.diff(found.word_ids, prepend=-1))
+        pieces = [x.tobytes() for x in np.split(ids, edges[1:])]
+        if len(self.known) + len(words) > MEMO:
+            self.known = {}
+        new = dict(zip(words, pieces, strict=True))
+        self.known.update((w, p) for w, p in new.items() if len(w) <= MEMO_CHARS)
+        return new
 
     def encode(self, text: str) -> bytes:
         """The ids of a text and the end id."""
-        return b"".join(self.parts(text)) + END_ID.to_bytes(4, "little")
+        out = []
+        for i, part in enumerate(self.split.parts(text)):
+            if i % 2:
+                out.append(self.split.special[part].to_bytes(4, "little"))
+                continue
+            words, known = self.split.words(part), self.known
+            pieces = list(map(known.get, words))
+            if None in pieces:
+                new = self.learn(list({w for w, p in zip(words, pieces, strict=True) if p is None}))
+                pieces = [p or new[w] for w, p in zip(words, pieces, strict=True)]
+            out += pieces
+        out.append(END_ID.to_bytes(4, "little"))
+        return b"".join(out)
 
 
 @lru_cache(maxsize=2)
@@ -154,8 +171,8 @@ def _dictionary_of(spark: SparkSession, folder: str) -> bytes:
     return data
 
 
-def read(spark: SparkSession, folder: str) -> DataFrame:
-    """Rows (doc_id, start, n_tokens, ids) of a store: `ids` as written, `start` the ids of all documents before."""
+def _documents(spark: SparkSession, folder: str, column: str, kind: pa.DataType, of: Callable[[bytes], object]) -> DataFrame:
+    """Rows (doc_id, start, n_tokens, `column`): `of` the ids of each document, `start` the ids of all before."""
     shared = _dictionary_of(spark, folder)
     name = digest(shared)
     packs = spark.read.parquet(f"{folder}/packs")
@@ -166,23 +183,29 @@ def read(spark: SparkSession, folder: str) -> DataFrame:
     def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         expand = zstandard.ZstdDecompressor(dict_data=_dictionary(shared)).decompress
         for batch in batches:
-            for at, written, doc_ids, counts, offsets, payload in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            for i in range(batch.num_rows):
+                at, written, doc_ids, counts, offsets = (batch.column(c)[i].as_py() for c in range(5))
+                payload = batch.column(5)[i].as_buffer()
                 if written != name:
                     raise ValueError("a pack of another dictionary")
-                starts, data = [], []
-                for count, i, j in zip(counts, offsets, offsets[1:], strict=False):
+                starts, found = [], []
+                for count, i0, i1 in zip(counts, offsets, offsets[1:], strict=False):
                     starts.append(at)
                     at += count
-                    data.append(expand(payload[i:j]))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(doc_ids, pa.int64()), pa.array(starts, pa.int64()), pa.array(counts, pa.int64()), pa.array(data, pa.binary())],
-                    ["doc_id", "start", "n_tokens", "ids"],
-                )
+                    found.append(of(expand(payload[i0:i1])))
+                columns = [pa.array(doc_ids, pa.int64()), pa.array(starts, pa.int64()), pa.array(counts, pa.int64()), pa.array(found, kind)]
+                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "start", "n_tokens", column])
 
     placed = packs.join(totals, "shard").select(
         (F.col("base") + F.col("first_token")).alias("at"), "dictionary", "doc_ids", "counts", "offsets", "payload"
     )
-    return map_batches(placed, unpack, "doc_id long, start long, n_tokens long, ids binary")
+    kinds = {pa.binary(): "binary", pa.int64(): "long"}
+    return map_batches(placed, unpack, f"doc_id long, start long, n_tokens long, {column} {kinds[kind]}")
+
+
+def read(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows (doc_id, start, n_tokens, ids) of a store: `ids` as written, `start` the ids of all documents before."""
+    return _documents(spark, folder, "ids", pa.binary(), bytes)
 
 
 def fetch(spark: SparkSession, folder: str, doc_id: int) -> list[list[int]]:
@@ -205,10 +228,4 @@ def round_trip(docs: DataFrame, path: str) -> DataFrame:
     """Rows (doc_id, start, n_tokens, ids_crc32) of every row of `docs`, from files written and read back."""
     folder = f"{shared_folder(docs.sparkSession)}/token-store-{uuid.uuid4().hex}"
     write(docs, path, folder)
-
-    def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            crc = [zlib.crc32(v.as_buffer()) for v in batch.column(3)]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(crc, pa.int64())], ["doc_id", "start", "n_tokens", "ids_crc32"])
-
-    return map_batches(read(docs.sparkSession, folder), sums, "doc_id long, start long, n_tokens long, ids_crc32 long")
+    return _documents(docs.sparkSession, folder, "ids_crc32", pa.int64(), zlib.crc32)

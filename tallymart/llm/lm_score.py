@@ -25,10 +25,11 @@ from tallymart.llm.shared import map_batches, settle, ship, whole_text
 
 FOLDS, HELD = 7, 2  # held out: crc32 of the doc_id's text, modulo FOLDS, is HELD
 MASS = 500.0  # m: weight of the word's own probability against its contexts
-SHARD_TOKENS = 4_000_000
-BLOCK_TOKENS, BLOCK_DOCS = 1 << 21, 60_000  # of a packed block
+SHARD_TOKENS = 3_000_000
+BLOCK_TOKENS, BLOCK_DOCS = 1 << 20, 60_000  # of a packed block
 HOT_WORDS = 1 << 16  # most words that are dealt by their contexts
-MEMO = 1_000_000
+LOOKUPS = 1 << 19  # tokens looked up at once
+MEMO = 300_000
 END_WORD, BEGIN_WORD = b" ", b"  "  # no word holds a space
 
 COLUMNS = ["shard", "words", "counts", "before", "doc", "doc_id", "text_hash", "train"]
@@ -140,63 +141,68 @@ def packed_tokens(docs: DataFrame, shards: int, hot: np.ndarray) -> DataFrame:
 
 
 def _unpacked(rows: pd.DataFrame) -> tuple[np.ndarray, ...]:
-    """(words, contexts, text of each token, doc_id, text hash, flags) of a shard."""
-    out: list[list[np.ndarray]] = [[] for _ in range(6)]
+    """(distinct words, place of each token's word, context, text, doc_id, text hash, flags) of a shard."""
+    out: list[list[np.ndarray]] = [[] for _ in range(7)]
     texts = 0
     for row in rows.itertuples(index=False):
-        own, counts = np.frombuffer(row.words, "<u8"), np.frombuffer(row.counts, "<u4")
+        counts = np.frombuffer(row.counts, "<u4")
         context = np.zeros((int(counts.sum()), 8), np.uint8)
         context[:, : CONTEXT_BITS // 8] = np.frombuffer(row.before, np.uint8).reshape(-1, CONTEXT_BITS // 8)
         ids = np.frombuffer(row.doc_id, "<i8")
         parts = (
-            np.repeat(own, counts), context.reshape(-1).view("<u8"), np.frombuffer(row.doc, "<u2").astype(np.int64) + texts,
+            np.frombuffer(row.words, "<u8"), counts, context.reshape(-1).view("<u8"),
+            np.frombuffer(row.doc, "<u2").astype(np.int32) + np.int32(texts),
             ids, np.frombuffer(row.text_hash, "<i8"), np.frombuffer(row.train, np.uint8),
         )
         for kept, part in zip(out, parts, strict=True):
             kept.append(part)
         texts += len(ids)
-    return tuple(np.concatenate(x) for x in out)
+    own, counts, *rest = (np.concatenate(x) for x in out)
+    words, place = np.unique(own, return_inverse=True)
+    return words, np.repeat(place.astype(np.int32), counts), *rest
 
 
 def shard_sums(rows: pd.DataFrame, total: int, distinct: int, texts: int, hot: np.ndarray, hot_counts: np.ndarray) -> pd.DataFrame:
     """Sums of one shard's terms for each of its texts."""
-    words, contexts, doc, ids, hashes, flags = _unpacked(rows)
-    train = (flags[doc] & 1) > 0
-    every, at = np.unique(words, return_inverse=True)
-    counts = np.bincount(at[train], minlength=len(every)).astype(np.int64)
+    words, at, contexts, doc, ids, hashes, flags = _unpacked(rows)
+    train = np.flatnonzero((flags & 1)[doc])
+    counts = np.bincount(at[train], minlength=len(words)).astype(np.int64)
     if len(hot):
-        place = np.minimum(np.searchsorted(hot, every), len(hot) - 1)
-        counts = np.where(hot[place] == every, hot_counts[place], counts)
+        place = np.minimum(np.searchsorted(hot, words), len(hot) - 1)
+        counts = np.where(hot[place] == words, hot_counts[place], counts)
     own = np.log10((counts + 1) / (total + distinct + 1))
+    end = words == np.uint64(xxhash.xxh64_intdigest(END_WORD))
+    # a word's count normalises the next token's term; the end normalises the first token's, after the beginning
+    below = np.log10(np.where(end, texts, counts) + MASS)
+    known, size = counts > 0, len(ids)
+    sums = {name: np.zeros(size) for name in ("ends", "n_tokens", "n_known", "base", "score")}
     with tempfile.TemporaryDirectory() as folder:
         path = Path(folder) / "trie"
-        known = counts > 0
-        rank = np.cumsum(known) - 1
-        keys, n = np.unique(
-            rank[at[train]].astype(np.uint64) << np.uint64(CONTEXT_BITS) | contexts[train], return_counts=True
-        )
+        rank = (np.cumsum(known) - 1).astype(np.uint64)
+        keys = rank[at[train]] << np.uint64(CONTEXT_BITS) | contexts[train]
+        del train
+        keys, n = np.unique(keys, return_counts=True)
         parent = (keys >> np.uint64(CONTEXT_BITS)).astype(np.int64)
         ends = np.cumsum(np.bincount(parent, minlength=int(known.sum())))
         logs = np.log10(n + MASS * 10 ** own[known][parent])
-        Trie.write(path, every[known], own[known], ends, keys & np.uint64((1 << CONTEXT_BITS) - 1), logs)
+        Trie.write(path, words[known], own[known], ends, keys & np.uint64((1 << CONTEXT_BITS) - 1), logs)
+        del keys, n, parent, logs
         trie = Trie.open(path)
-        place = trie.find_words(every)
+        place = trie.find_words(words)
         unigram = np.where(place >= 0, np.asarray(trie.values)[place] if len(trie.values) else own, own)
-        found, value = trie.find(place[at], contexts)
+        for i in range(0, len(at), LOOKUPS):
+            word, text = at[i : i + LOOKUPS], doc[i : i + LOOKUPS]
+            found, value = trie.find(place[word], contexts[i : i + LOOKUPS])
+            term = np.where(found, value, np.log10(MASS) + unigram[word]) - below[word]
+            for name, weights in (
+                ("ends", end[word]), ("n_tokens", None), ("n_known", known[word]), ("base", np.log10(counts[word] + 1)), ("score", term),
+            ):
+                sums[name] += np.bincount(text, weights, minlength=size)
         del trie
-    end = np.uint64(xxhash.xxh64_intdigest(END_WORD))
-    # a word's count normalises the next token's term; the end normalises the first token's, after the beginning
-    below = np.where(every == end, np.log10(texts + MASS), np.log10(counts + MASS))
-    term = np.where(found, value, np.log10(MASS) + unigram[at]) - below[at]
-    size = len(ids)
-
-    def by_text(weights: np.ndarray) -> np.ndarray:
-        return np.bincount(doc, weights, minlength=size)
-
+    whole = {name: sums[name].astype(np.int64) for name in ("ends", "n_tokens", "n_known")}
     out = pd.DataFrame({
         "doc_id": ids, "no_id": (flags & 2) > 0, "text_hash": hashes, "held": (flags & 1) == 0,
-        "ends": by_text(words == end).astype(np.int64), "n_tokens": np.bincount(doc, minlength=size),
-        "n_known": by_text(counts[at] > 0).astype(np.int64), "base": by_text(np.log10(counts[at] + 1)), "score": by_text(term),
+        **whole, "base": sums["base"], "score": sums["score"],
     })
     return out
 

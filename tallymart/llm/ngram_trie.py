@@ -8,6 +8,7 @@ searched among its word's own contexts only.  Values are quantised.
 from __future__ import annotations
 
 import json
+from functools import cached_property
 from pathlib import Path
 
 import numpy as np
@@ -104,13 +105,18 @@ class Trie:
             return np.full(len(hashes), -1)
         return np.where(words[np.minimum(places, len(words) - 1)] == hashes, places, -1)
 
-    def find(self, words: np.ndarray, contexts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(found, value) of each pair of a word's place and a context: successor search among the word's own."""
+    @cached_property
+    def _keys(self) -> np.ndarray:
+        """Each context's id under its word's place, as the pointers have it."""
         ends = self.ends.decode().astype(np.int64)
         own = np.zeros((len(self.contexts), 8), np.uint8)
         own[:, : self.contexts.shape[1]] = self.contexts
         owner = np.repeat(np.arange(len(ends)), np.diff(ends, prepend=0)).astype(np.uint64)
-        keys = owner << np.uint64(CONTEXT_BITS) | own.reshape(-1).view("<u8")
+        return owner << np.uint64(CONTEXT_BITS) | own.reshape(-1).view("<u8")
+
+    def find(self, words: np.ndarray, contexts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(found, value) of each pair of a word's place and a context: successor search among the word's own."""
+        keys = self._keys
         asked = words.astype(np.uint64) << np.uint64(CONTEXT_BITS) | contexts
         places = np.searchsorted(keys, asked)
         inside = np.minimum(places, max(len(keys) - 1, 0))

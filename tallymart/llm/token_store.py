@@ -36,7 +36,7 @@ LEVEL = 3
 PACK_DOCS = 256
 PACK_BYTES = 1 << 20  # of ids; a longer document fills a pack alone
 END_ID = 1
-MEMO = 400_000  # words whose ids a worker remembers
+MEMO, CHUNKS = 300_000, 600_000  # words, and stretches between spaces, whose ids a worker remembers
 PACK = (
     "shard int, first_token long, tokens long, dictionary string, doc_ids array<long>, counts array<long>,"
     " offsets array<long>, payload binary"
@@ -52,21 +52,34 @@ class IdWriter:
         self.library = Tokenizer(self.split.library.model)  # for words that are split and normalised already
         self.library.pre_tokenizer = WhitespaceSplit()
         self.letter = str.maketrans({chr(b): c for b, c in enumerate(byte_letters())})
-        self.known: dict[str, bytes] = {}
+        self.known: dict[str, bytes] = {}  # by word
+        self.chunks: dict[str, bytes] = {}  # by what stands between spaces
 
     def learn(self, words: list[str]) -> dict[str, bytes]:
         """Ids of new words, encoded at once; short ones are remembered."""
         text = " ".join([w.encode().decode("latin-1").translate(self.letter) for w in words])
         found = self.library.encode(text, add_special_tokens=False)
-        ids = np.array(found.ids, "<u4")
-        edges = np.flatnonzero(np.diff(found.word_ids, prepend=-1))
-        pieces = [x.tobytes() for x in np.split(ids, edges[1:])]
+        data = np.array(found.ids, "<u4").tobytes()
+        edges = (4 * np.flatnonzero(np.diff(found.word_ids, prepend=-1))).tolist()
+        pieces = [data[i:j] for i, j in zip(edges, [*edges[1:], len(data)], strict=True)]
         if len(self.known) + len(words) > MEMO:
             self.known = {}
         new = dict(zip(words, pieces, strict=True))
         self.known.update((w, p) for w, p in new.items() if len(w) <= MEMO_CHARS)
         return new
 
+    def learn_chunks(self, chunks: set[str]) -> dict[str, bytes]:
+        """Ids of new stretches between spaces; no word reaches across a space or a line's end."""
+        words = {c: self.split.words(c) for c in chunks}
+        known = self.known
+        missing = list({w for own in words.values() for w in own if w not in known})
+        fresh = self.learn(missing) if missing else {}
+        found = {c: b"".join([known.get(w) or fresh[w] for w in own]) for c, own in words.items()}
+        if len(self.chunks) + len(found) > CHUNKS:
+            self.chunks = {}
+        self.chunks.update((c, p) for c, p in found.items() if len(c) <= MEMO_CHARS)
+        return found
+
     def encode(self, text: str) -> bytes:
         """The ids of a text and the end id."""
         out = []
@@ -74,11 +87,11 @@ class IdWriter:
             if i % 2:
                 out.append(self.split.special[part].to_bytes(4, "little"))
                 continue
-            words, known = self.split.words(part), self.known
-            pieces = list(map(known.get, words))
+            chunks = part.replace("\n", " ").split(" ")
+            pieces = list(map(self.chunks.get, chunks))
             if None in pieces:
-                new = self.learn(list({w for w, p in zip(words, pieces, strict=True) if p is None}))
-                pieces = [p or new[w] for w, p in zip(words, pieces, strict=True)]
+                new = self.learn_chunks({c for c, p in zip(chunks, pieces, strict=True) if p is None})
+                pieces = [new[c] if p is None else p for c, p in zip(chunks, pieces, strict=True)]
             out += pieces
         out.append(END_ID.to_bytes(4, "little"))
         return b"".join(out)
@@ -94,11 +107,12 @@ def train(docs: DataFrame, path: str, sample: int = SAMPLE) -> bytes:
 
     Too few or too uniform documents give raw content instead; none give an empty dictionary.
     """
-    text = whole_text()
-    rows = (
-        docs.select(F.xxhash64("doc_id").alias("place"), text.alias("text"))
-        .where(F.length("text") <= SAMPLE_CHARS).orderBy("place", "text").limit(sample).collect()
-    )
+    short = docs.select(F.xxhash64("doc_id").alias("place"), whole_text().alias("text"))
+    short = short.where(F.length("text") <= SAMPLE_CHARS)
+    hashed = short.select("place", F.xxhash64("text").alias("tie"))
+    chosen = hashed.orderBy("place", "tie").limit(sample).distinct()  # numbers only, at most `sample` rows
+    picked = short.withColumn("tie", F.xxhash64("text")).join(F.broadcast(chosen), ["place", "tie"])
+    rows = picked.dropDuplicates(["place", "tie"]).orderBy("place", "tie").select("text").collect()
     ids = [id_writer(path).encode(r["text"]) for r in rows]
     try:
         return zstandard.train_dictionary(DICTIONARY, ids).as_bytes()

@@ -17,16 +17,13 @@ from array import array
 from collections.abc import Callable, Iterator
 from functools import lru_cache
 
-import numpy as np
 import pyarrow as pa
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from tokenizers import Tokenizer
-from tokenizers.pre_tokenizers import WhitespaceSplit
 
-from tallymart.llm.bpe import MEMO_CHARS, WordSplitter, byte_letters
+from tallymart.llm.bpe import Memo, WordSplitter, byte_letters
 from tallymart.llm.shared import map_batches, shared_folder, whole_text
 
 SAMPLE = 2000  # documents that the dictionary is trained on
@@ -36,7 +33,6 @@ LEVEL = 3
 PACK_DOCS = 256
 PACK_BYTES = 1 << 20  # of ids; a longer document fills a pack alone
 END_ID = 1
-MEMO, CHUNKS = 300_000, 600_000  # words, and stretches between spaces, whose ids a worker remembers
 PACK = (
     "shard int, first_token long, tokens long, dictionary string, doc_ids array<long>, counts array<long>,"
     " offsets array<long>, payload binary"
@@ -49,52 +45,24 @@ class IdWriter:
     def __init__(self, path: str):
         with open(path, encoding="utf-8") as file:
             self.split = WordSplitter(json.load(file), path)
-        self.library = Tokenizer(self.split.library.model)  # for words that are split and normalised already
-        self.library.pre_tokenizer = WhitespaceSplit()
-        self.letter = str.maketrans({chr(b): c for b, c in enumerate(byte_letters())})
-        self.known: dict[str, bytes] = {}  # by word
-        self.chunks: dict[str, bytes] = {}  # by what stands between spaces
-
-    def learn(self, words: list[str]) -> dict[str, bytes]:
-        """Ids of new words, encoded at once; short ones are remembered."""
-        text = " ".join([w.encode().decode("latin-1").translate(self.letter) for w in words])
-        found = self.library.encode(text, add_special_tokens=False)
-        data = np.array(found.ids, "<u4").tobytes()
-        edges = (4 * np.flatnonzero(np.diff(found.word_ids, prepend=-1))).tolist()
-        pieces = [data[i:j] for i, j in zip(edges, [*edges[1:], len(data)], strict=True)]
-        if len(self.known) + len(words) > MEMO:
-            self.known = {}
-        new = dict(zip(words, pieces, strict=True))
-        self.known.update((w, p) for w, p in new.items() if len(w) <= MEMO_CHARS)
-        return new
-
-    def learn_chunks(self, chunks: set[str]) -> dict[str, bytes]:
-        """Ids of new stretches between spaces; no word reaches across a space or a line's end."""
-        words = {c: self.split.words(c) for c in chunks}
-        known = self.known
-        missing = list({w for own in words.values() for w in own if w not in known})
-        fresh = self.learn(missing) if missing else {}
-        found = {c: b"".join([known.get(w) or fresh[w] for w in own]) for c, own in words.items()}
-        if len(self.chunks) + len(found) > CHUNKS:
-            self.chunks = {}
-        self.chunks.update((c, p) for c, p in found.items() if len(c) <= MEMO_CHARS)
-        return found
+        letters, model = byte_letters(), self.split.library.model
 
-    def encode(self, text: str) -> bytes:
-        """The ids of a text and the end id."""
-        out = []
+        def make(word: str) -> bytes:
+            piece = "".join([letters[b] for b in word.encode()])
+            return array("I", [t.id for t in model.tokenize(piece)]).tobytes()
+
+        self.known = Memo(make)
+
+    def parts(self, text: str) -> Iterator[bytes]:
         for i, part in enumerate(self.split.parts(text)):
             if i % 2:
-                out.append(self.split.special[part].to_bytes(4, "little"))
-                continue
-            chunks = part.replace("\n", " ").split(" ")
-            pieces = list(map(self.chunks.get, chunks))
-            if None in pieces:
-                new = self.learn_chunks({c for c, p in zip(chunks, pieces, strict=True) if p is None})
-                pieces = [new[c] if p is None else p for c, p in zip(chunks, pieces, strict=True)]
-            out += pieces
-        out.append(END_ID.to_bytes(4, "little"))
-        return b"".join(out)
+                yield self.split.special[part].to_bytes(4, "little")
+            else:
+                yield from map(self.known.__getitem__, self.split.words(part))
+
+    def encode(self, text: str) -> bytes:
+        """The ids of a text and the end id."""
+        return b"".join(self.parts(text)) + END_ID.to_bytes(4, "little")
 
 
 @lru_cache(maxsize=2)

@@ -17,6 +17,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -32,9 +33,15 @@ LOOKUPS = 1 << 19  # tokens looked up at once
 MEMO = 300_000
 END_WORD, BEGIN_WORD = b" ", b"  "  # no word holds a space
 
-COLUMNS = ["shard", "words", "counts", "before", "doc", "doc_id", "text_hash", "train"]
-PACKED = "shard int, words binary, counts binary, before binary, doc binary, doc_id binary, text_hash binary, train binary"
-SUMS = "doc_id long, no_id boolean, text_hash long, held boolean, ends long, n_tokens long, n_known long, base double, score double"
+PACKED = (
+    "shard int, block long, words binary, counts binary, before binary, doc binary, texts binary, train binary,"
+    " ended binary, doc_id binary, flags binary"
+)
+SUMS = (
+    "block long, texts binary, n_tokens binary, n_known binary, base binary, score binary, ended binary, doc_id binary,"
+    " flags binary"
+)
+SCORES = "doc_id long, held_out boolean, n_tokens long, n_known long, base double, score double"
 
 
 class Hashes(dict):
@@ -55,8 +62,7 @@ def held_out() -> Column:
 def _rows(docs: DataFrame) -> DataFrame:
     text = whole_text()
     return docs.select(
-        F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("text_hash"), (~held_out()).alias("train"),
-        text.alias("text"),
+        F.col("doc_id").cast("long").alias("doc_id"), (~held_out()).alias("train"), text.alias("text")
     )
 
 
@@ -93,10 +99,11 @@ def _mixed(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return x * np.uint64(0xBF58476D1CE4E5B9)
 
 
-def _pack(docs: list[tuple], shards: int, hot: np.ndarray) -> Iterator[list[pa.Array]]:
-    """A block's tokens, a row a shard: its words and their counts, then for each token the context and the text."""
-    sizes = np.array([len(d[3]) for d in docs])
-    words = np.concatenate([d[3] for d in docs])
+def _pack(docs: list[tuple], block: int, shards: int, hot: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """A block's tokens, a row a shard: its words and their counts, for each token the context and the text, and
+    who the texts are that end there."""
+    sizes = np.array([len(d[2]) for d in docs])
+    words = np.concatenate([d[2] for d in docs])
     before = np.empty_like(words)
     before[1:] = words[:-1]
     before[np.cumsum(sizes) - sizes] = np.uint64(xxhash.xxh64_intdigest(BEGIN_WORD))
@@ -108,14 +115,20 @@ def _pack(docs: list[tuple], shards: int, hot: np.ndarray) -> Iterator[list[pa.A
     shard, words, before, doc = shard[order], words[order], before[order], doc[order]
     edges = np.flatnonzero(np.diff(shard)) + 1
     ids = np.array([d[0] if d[0] is not None else 0 for d in docs], "<i8")
-    hashes = np.array([d[1] for d in docs], "<i8")
-    flags = np.array([2 * (d[0] is None) + bool(d[2]) for d in docs], np.uint8)
+    flags = np.array([2 * (d[0] is None) + bool(d[1]) for d in docs], np.uint8)
+    end = np.uint64(xxhash.xxh64_intdigest(END_WORD))
+    names = [c.split()[0] for c in PACKED.split(", ")]
     for i, j in zip([0, *edges], [*edges, len(words)], strict=True):
         own, counts = np.unique(words[i:j], return_counts=True)
         texts, at = np.unique(doc[i:j], return_inverse=True)
         context = before[i:j].astype("<u8").view(np.uint8).reshape(-1, 8)[:, : CONTEXT_BITS // 8]
-        blobs = [own.astype("<u8"), counts.astype("<u4"), np.ascontiguousarray(context), at.astype("<u2"), ids[texts], hashes[texts], flags[texts]]
-        yield [pa.array([int(shard[i])], pa.int32()), *(pa.array([b.tobytes()], pa.binary()) for b in blobs)]
+        ended = doc[i:j][words[i:j] == end]
+        blobs = (
+            own.astype("<u8"), counts.astype("<u4"), np.ascontiguousarray(context), at.astype("<u2"), texts.astype("<u2"),
+            flags[texts] & 1, ended.astype("<u2"), ids[ended], flags[ended],
+        )
+        arrays = [pa.array([int(shard[i])], pa.int32()), pa.array([block], pa.int64())]
+        yield pa.RecordBatch.from_arrays([*arrays, *(pa.array([b.tobytes()], pa.binary()) for b in blobs)], names)
 
 
 def packed_tokens(docs: DataFrame, shards: int, hot: np.ndarray) -> DataFrame:
@@ -123,49 +136,45 @@ def packed_tokens(docs: DataFrame, shards: int, hot: np.ndarray) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, held, size = Hashes(), [], 0
+        block = TaskContext.get().partitionId() << 32
         for batch in batches:
-            ids, hashes, train = (batch.column(i).to_pylist() for i in range(3))
-            for row in zip(ids, hashes, train, batch.column(3), strict=True):
-                tokens = _tokens(known, row[3].as_py())
-                held.append((*row[:3], tokens))
-                size += len(tokens)
+            ids, train = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+            for doc_id, trained, text in zip(ids, train, batch.column(2), strict=True):
+                held.append((doc_id, trained, _tokens(known, text.as_py())))
+                size += len(held[-1][2])
                 if size >= BLOCK_TOKENS or len(held) >= BLOCK_DOCS:
-                    for arrays in _pack(held, shards, hot):
-                        yield pa.RecordBatch.from_arrays(arrays, COLUMNS)
-                    held, size = [], 0
+                    yield from _pack(held, block, shards, hot)
+                    held, size, block = [], 0, block + 1
         if held:
-            for arrays in _pack(held, shards, hot):
-                yield pa.RecordBatch.from_arrays(arrays, COLUMNS)
+            yield from _pack(held, block, shards, hot)
 
     return map_batches(_rows(docs), run, PACKED)
 
 
 def _unpacked(rows: pd.DataFrame) -> tuple[np.ndarray, ...]:
-    """(distinct words, place of each token's word, context, text, doc_id, text hash, flags) of a shard."""
-    out: list[list[np.ndarray]] = [[] for _ in range(7)]
-    texts = 0
+    """(distinct words, place of each token's word, context, text, is each text trained on, texts of each row)."""
+    out: list[list[np.ndarray]] = [[] for _ in range(5)]
+    sizes = [0]
     for row in rows.itertuples(index=False):
         counts = np.frombuffer(row.counts, "<u4")
         context = np.zeros((int(counts.sum()), 8), np.uint8)
         context[:, : CONTEXT_BITS // 8] = np.frombuffer(row.before, np.uint8).reshape(-1, CONTEXT_BITS // 8)
-        ids = np.frombuffer(row.doc_id, "<i8")
         parts = (
             np.frombuffer(row.words, "<u8"), counts, context.reshape(-1).view("<u8"),
-            np.frombuffer(row.doc, "<u2").astype(np.int32) + np.int32(texts),
-            ids, np.frombuffer(row.text_hash, "<i8"), np.frombuffer(row.train, np.uint8),
+            np.frombuffer(row.doc, "<u2").astype(np.int32) + np.int32(sizes[-1]), np.frombuffer(row.train, np.uint8),
         )
         for kept, part in zip(out, parts, strict=True):
             kept.append(part)
-        texts += len(ids)
+        sizes.append(sizes[-1] + len(row.train))
     own, counts, *rest = (np.concatenate(x) for x in out)
     words, place = np.unique(own, return_inverse=True)
-    return words, np.repeat(place.astype(np.int32), counts), *rest
+    return words, np.repeat(place.astype(np.int32), counts), *rest, np.array(sizes)
 
 
 def shard_sums(rows: pd.DataFrame, total: int, distinct: int, texts: int, hot: np.ndarray, hot_counts: np.ndarray) -> pd.DataFrame:
-    """Sums of one shard's terms for each of its texts."""
-    words, at, contexts, doc, ids, hashes, flags = _unpacked(rows)
-    train = np.flatnonzero((flags & 1)[doc])
+    """Sums of one shard's terms for each of its texts, packed in a row a block."""
+    words, at, contexts, doc, trained, sizes = _unpacked(rows)
+    train = np.flatnonzero(trained[doc])
     counts = np.bincount(at[train], minlength=len(words)).astype(np.int64)
     if len(hot):
         place = np.minimum(np.searchsorted(hot, words), len(hot) - 1)
@@ -174,8 +183,8 @@ def shard_sums(rows: pd.DataFrame, total: int, distinct: int, texts: int, hot: n
     end = words == np.uint64(xxhash.xxh64_intdigest(END_WORD))
     # a word's count normalises the next token's term; the end normalises the first token's, after the beginning
     below = np.log10(np.where(end, texts, counts) + MASS)
-    known, size = counts > 0, len(ids)
-    sums = {name: np.zeros(size) for name in ("ends", "n_tokens", "n_known", "base", "score")}
+    known, size = counts > 0, len(trained)
+    sums = {name: np.zeros(size) for name in ("n_tokens", "n_known", "base", "score")}
     with tempfile.TemporaryDirectory() as folder:
         path = Path(folder) / "trie"
         rank = (np.cumsum(known) - 1).astype(np.uint64)
@@ -195,23 +204,37 @@ def shard_sums(rows: pd.DataFrame, total: int, distinct: int, texts: int, hot: n
             found, value = trie.find(place[word], contexts[i : i + LOOKUPS])
             term = np.where(found, value, np.log10(MASS) + unigram[word]) - below[word]
             for name, weights in (
-                ("ends", end[word]), ("n_tokens", None), ("n_known", known[word]), ("base", np.log10(counts[word] + 1)), ("score", term),
+                ("n_tokens", None), ("n_known", known[word]), ("base", np.log10(counts[word] + 1)), ("score", term),
             ):
                 sums[name] += np.bincount(text, weights, minlength=size)
         del trie
-    whole = {name: sums[name].astype(np.int64) for name in ("ends", "n_tokens", "n_known")}
-    out = pd.DataFrame({
-        "doc_id": ids, "no_id": (flags & 2) > 0, "text_hash": hashes, "held": (flags & 1) == 0,
-        **whole, "base": sums["base"], "score": sums["score"],
-    })
-    return out
+    kinds = {"n_tokens": "<u4", "n_known": "<u4", "base": "<f8", "score": "<f8"}
+    packed = {n: [sums[n][i:j].astype(k).tobytes() for i, j in zip(sizes, sizes[1:], strict=False)] for n, k in kinds.items()}
+    same = ["block", "texts", "ended", "doc_id", "flags"]
+    return rows[same].assign(**packed)[[c.split()[0] for c in SUMS.split(", ")]]
+
+
+def block_scores(rows: pd.DataFrame) -> pd.DataFrame:
+    """The sums of all shards for each text of a block."""
+    ended = np.concatenate([np.frombuffer(b, "<u2") for b in rows["ended"]])
+    ids = np.concatenate([np.frombuffer(b, "<i8") for b in rows["doc_id"]])
+    flags = np.concatenate([np.frombuffer(b, np.uint8) for b in rows["flags"]])
+    kinds = {"n_tokens": "<u4", "n_known": "<u4", "base": "<f8", "score": "<f8"}
+    sums = {n: np.zeros(len(ended), "<i8" if k == "<u4" else k) for n, k in kinds.items()}
+    for row in rows.itertuples(index=False):
+        texts = np.frombuffer(row.texts, "<u2")
+        for n, k in kinds.items():
+            sums[n][texts] += np.frombuffer(getattr(row, n), k)
+    order = np.argsort(ended)  # every text of a block ends once
+    doc_id = pd.Series(ids[order], dtype="Int64").mask((flags[order] & 2) > 0)
+    return pd.DataFrame({"doc_id": doc_id, "held_out": (flags[order] & 1) == 0, **sums})
 
 
 def score(docs: DataFrame, shard_tokens: int = SHARD_TOKENS) -> DataFrame:
     """Rows (doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score), one per row of `docs`.
 
-    Null texts count as empty (the end alone), a null doc_id as the empty name.  Rows that repeat a
-    doc_id and a text get the same scores, one row each.  Without training texts every token is
+    Null texts count as empty (the end alone), a null doc_id as the empty name.  Repeated rows
+    are texts like any other.  Without training texts every token is
     unknown.  An empty table has no rows.
     """
     ship(docs.sparkSession)
@@ -233,14 +256,9 @@ def score(docs: DataFrame, shard_tokens: int = SHARD_TOKENS) -> DataFrame:
         return shard_sums(rows, total, distinct, texts, hot, hot_counts)
 
     parts = packed_tokens(docs, shards, hot).groupBy("shard").applyInPandas(run, SUMS)
-    whole = parts.groupBy("doc_id", "no_id", "text_hash").agg(
-        F.first("held").alias("held_out"), *(F.sum(c).alias(c) for c in ("ends", "n_tokens", "n_known", "base", "score"))
-    )
-    each = whole.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("ends"))))
-    n_tokens = (F.col("n_tokens") / F.col("ends")).cast("long")
-    return each.select(
-        F.when(~F.col("no_id"), F.col("doc_id")).alias("doc_id"), "held_out", n_tokens.alias("n_tokens"),
-        (F.col("n_known") / F.col("ends")).cast("long").alias("n_known"), F.lit(total).cast("long").alias("train_tokens"),
-        (F.col("base") / F.col("ends") - n_tokens * F.log10(F.lit(float(total + distinct + 1)))).alias("base_score"),
-        (F.col("score") / F.col("ends")).alias("score"),
+    whole = parts.groupBy("block").applyInPandas(block_scores, SCORES)
+    classes = F.log10(F.lit(float(total + distinct + 1)))
+    return whole.select(
+        "doc_id", "held_out", "n_tokens", "n_known", F.lit(total).cast("long").alias("train_tokens"),
+        (F.col("base") - F.col("n_tokens") * classes).alias("base_score"), "score",
     )

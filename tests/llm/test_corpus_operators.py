@@ -104,6 +104,31 @@ def test_similar_groups_keep_one_row_a_group(spark):
     assert simhash.keepers(nothing(spark)).count() == 0
 
 
+def kept_by_brute_force(texts: dict[int, str], words: int = 5, similarity: float = 0.8) -> set[int]:
+    sets = {i: {tuple(t.split()[k : k + words]) for k in range(len(t.split()) - words + 1)} for i, t in texts.items()}
+    links = [(a, b) for a in sets for b in sets if a < b and len(sets[a] & sets[b]) >= similarity * len(sets[a] | sets[b]) - 1e-9]
+    return set(sets_of(links, list(sets)).values())
+
+
+def test_similar_groups_find_every_pair_of_the_similarity(spark):
+    rng, texts = random.Random(9), {}
+    line = [f"l{k}" for k in range(17)]
+    for i in range(120):
+        base = line * (i % 2) + [f"w{rng.randrange(10**6)}" for _ in range(rng.randint(60, 400))]
+        changed, places = list(base), rng.randint(2, 6) * len(base) // 200
+        for k in rng.sample(range(len(base)), max(1, places)):
+            changed[k] = f"x{rng.randrange(10**6)}"
+        cut = rng.choice([0, 0, rng.randint(0, len(base) // 4)])
+        texts[2 * i], texts[2 * i + 1] = " ".join(base), " ".join(changed[cut:])
+    # a chain: each end is like a middle text that is not the first of its set
+    chain = [f"c{k}" for k in range(330)]
+    texts |= {1000 + k: " ".join(chain[20 * k : 20 * k + 210]) for k in range(7)}
+    want = kept_by_brute_force(texts)
+    assert 140 < len(want) < 200
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(3)
+    assert {r["doc_id"] for r in simhash.keepers(docs).collect()} == want
+
+
 def vectors(spark, n: int, dim: int, scale: float = 1.0):
     rng = np.random.default_rng(n)
     held = rng.normal(0, scale, (n, dim)).round(2).tolist()

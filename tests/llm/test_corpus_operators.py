@@ -129,6 +129,17 @@ def test_similar_groups_find_every_pair_of_the_similarity(spark):
     assert {r["doc_id"] for r in simhash.keepers(docs).collect()} == want
 
 
+def test_similar_groups_do_not_link_by_repeated_lines(spark):
+    rng = random.Random(12)
+    line = " ".join(f"common{k}" for k in range(17))
+    texts = {}
+    for i in range(6):
+        texts[i] = " ".join([line] * 60 + [f"w{rng.randrange(10**6)}" for _ in range(300)])
+    assert kept_by_brute_force(texts) == set(texts)
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    assert {r["doc_id"] for r in simhash.keepers(docs).collect()} == set(texts)
+
+
 def vectors(spark, n: int, dim: int, scale: float = 1.0):
     rng = np.random.default_rng(n)
     held = rng.normal(0, scale, (n, dim)).round(2).tolist()

@@ -3,12 +3,14 @@
 Grades: 0 clean, 1 mild, 2 severe.  The labels know toxic or not; a toxic row is severe if it holds
 more of the chosen words than the median toxic row.  One weight vector serves all thresholds:
 ``P(grade <= g) = 1 / (1 + exp(x . w - cut_g))``.
+
+A text is as severe as its worst window of `WINDOW` words, so a toxic passage does not fade in a long text.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from dataclasses import dataclass
+from collections.abc import Callable, Iterator
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -25,6 +27,7 @@ LEAST_Z = 6.0  # deviations by which its share among toxic rows must exceed that
 GRADES = 3
 MARGIN = 0.25
 PER_WORDS, FEW_WORDS = 200, 20  # features count per so many words; a short text counts as so many more
+WINDOW = 200  # words of a window; a shorter text is one window
 STEPS, RATE, SHRINK = 600, 0.05, 3e-4
 
 STEMS = (5, 6, 7, 8)  # lengths of word beginnings that are features beside the whole words
@@ -61,22 +64,48 @@ class Model:
     cuts: tuple[float, ...]
     reject: float = 0.5
 
+    def scorer(self, words: int) -> Callable[[dict[str, int]], float]:
+        """The score of a window's counts in a text of so many words."""
+        return lambda counts: sum(self.weights[f] * value(n, words) for f, n in counts.items())
+
     def grades(self, texts: list[str]) -> np.ndarray:
         """Probabilities of the grades, a row a text."""
-        weights, find, known = self.weights, WORD.findall, Weighed(self.weights)
+        find, known = WORD.findall, Weighed(self.weights)
         scores = np.zeros(len(texts))
         for i, text in enumerate(texts):
-            words, counts = find(text.lower()), {}
-            for own in filter(None, map(known.__getitem__, words)):
-                for f in own:
-                    counts[f] = counts.get(f, 0) + 1
-            scores[i] = sum(weights[f] * value(n, len(words)) for f, n in counts.items())
+            words = find(text.lower())
+            held = [(place, own) for place, own in enumerate(map(known.__getitem__, words)) if own]
+            scores[i] = worst_window(held, self.scorer(len(words)))[0]
         return probabilities(scores, np.array(self.cuts))
 
 
 def value(count: int, words: int) -> float:
-    """Of a feature that occurs `count` times among `words` words."""
-    return float(np.log1p(PER_WORDS * count / (words + FEW_WORDS)))
+    """Of a feature that occurs `count` times in a window of a text of `words` words."""
+    return float(np.log1p(PER_WORDS * count / (min(words, WINDOW) + FEW_WORDS)))
+
+
+def worst_window(held: list[tuple[int, list]], score: Callable[[dict], float]) -> tuple[float, dict]:
+    """The highest score of all windows and the counts there, of the places and features of a text's weighed words.
+
+    With weights of at least 0 only windows that begin with a weighed word and reach one more than
+    the window before can be the worst.
+    """
+    best, worst, counts, end = 0.0, {}, {}, 0
+    for place, own in held:
+        before = end
+        while end < len(held) and held[end][0] < place + WINDOW:
+            for f in held[end][1]:
+                counts[f] = counts.get(f, 0) + 1
+            end += 1
+        if end > before and (now := score(counts)) > best:
+            best, worst = now, dict(counts)
+        if end == len(held):
+            break
+        for f in own:
+            counts[f] -= 1
+            if not counts[f]:
+                del counts[f]
+    return best, worst
 
 
 def probabilities(scores: np.ndarray, cuts: np.ndarray) -> np.ndarray:
@@ -139,6 +168,31 @@ def _features(words: Column) -> Column:
     return F.concat(words, *(stem(n) for n in STEMS))
 
 
+HELD = "toxic int, size int, places array<int>, found array<string>"
+
+
+def _holder(chosen: frozenset) -> Callable:
+    """Of rows (toxic, words): how many words, and those that have a chosen feature, with their places."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = Weighed(dict.fromkeys(chosen, 0.0))
+        for batch in batches:
+            sizes, places, found = [], [], []
+            for words in batch.column(1):
+                own = words.as_py()
+                at = [i for i, w in enumerate(own) if known[w]]
+                sizes.append(len(own))
+                places.append(at)
+                found.append([own[i] for i in at])
+            columns = [
+                batch.column(0), pa.array(sizes, pa.int32()), pa.array(places, pa.list_(pa.int32())),
+                pa.array(found, pa.list_(pa.string())),
+            ]
+            yield pa.RecordBatch.from_arrays(columns, ["toxic", "size", "places", "found"])
+
+    return run
+
+
 def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     """The model of a bounded sample of labelled rows.
 
@@ -176,24 +230,25 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
             .orderBy(F.desc(z), "word").limit(WORDS).collect()
         )
         words = [r["word"] for r in best]
-        place = {w: i for i, w in enumerate(words)}
-        asked = F.array(*(F.lit(w) for w in words)).cast("array<string>")
-        held = rows.select("toxic", F.filter(_features(F.col("words")), lambda w: F.array_contains(asked, w)).alias("found"), F.size("words").alias("size")).collect()
+        held = map_batches(rows.select("toxic", "words"), _holder(frozenset(words)), HELD).collect()
     finally:
         rows.unpersist()
-    values, counts = [], []
+    place = {w: i for i, w in enumerate(words)}
+    kept, values, counts = [], [], []
     for r in held:
-        own: dict[int, int] = {}
-        for w in r["found"]:
-            own[place[w]] = own.get(place[w], 0) + 1
-        values.append({f: value(n, r["size"]) for f, n in own.items()})
-        counts.append(sum(own.values()))
+        own = [(at, [f for f in features(w) if f in place]) for at, w in zip(r["places"], r["found"], strict=True)]
+        # before there are weights, the worst window is the one that holds most features
+        most = worst_window(own, lambda c: sum(c.values()))[1]
+        values.append({place[f]: value(n, r["size"]) for f, n in most.items()})
+        counts.append(sum(len(f) for _, f in own))
+        kept.append((own, r["size"]))
     bad = np.array([r["toxic"] for r in held]) > 0
     counts = np.array(counts)
     severe = bad & (counts > np.median(counts[bad & (counts > 0)] if (bad & (counts > 0)).any() else [0]))
     weights, cuts = fit_cuts(values, bad.astype(int) + severe, len(words))
-    toxicity = 1 - probabilities(np.array([sum(weights[f] * x for f, x in v.items()) for v in values]), cuts)[:, 0]
-    return Model(dict(zip(words, weights.tolist(), strict=True)), tuple(cuts.tolist()), best_threshold(toxicity, bad))
+    model = Model(dict(zip(words, weights.tolist(), strict=True)), tuple(cuts.tolist()))
+    scores = np.array([worst_window(own, model.scorer(n))[0] for own, n in kept])
+    return replace(model, reject=best_threshold(1 - probabilities(scores, cuts)[:, 0], bad))
 
 
 def best_threshold(p: np.ndarray, bad: np.ndarray) -> float:

@@ -263,6 +263,43 @@ def test_toxicity_finds_held_out_rows(spark):
     assert kept.dtypes == docs.dtypes and {r["doc_id"] for r in kept.collect()} == set(got) - rejected
 
 
+def test_toxicity_of_a_short_passage_in_a_long_text(spark):
+    rng = random.Random(14)
+    known = ["".join(rng.choices("abcdefghijklm", k=6)) for _ in range(5000)]
+    clean = [(" ".join(rng.choices(known, k=rng.randint(30, 900))), 1, 0) for _ in range(300)]
+    toxic = []
+    for _ in range(80):
+        words = rng.choices(known, k=rng.randint(30, 200))
+        for _ in range(rng.randint(2, 5)):
+            words.insert(rng.randrange(len(words)), rng.choice(["idiot", "scumbag", "scumlord"]))
+        toxic.append((" ".join(words), 1, 1))
+    docs, labels = labelled(spark, clean + toxic)
+    model = toxicity.fit(docs, labels)
+    long = rng.choices(known, k=20_000)
+    passage = [*long[:9000], "idiot", "and", "scumbag", "scumlord", "idiot", "scumbag", *long[9000:]]
+    at_end = [*long, "idiot", "scumbag", "scumlord", "idiot", "scumbag"]
+    texts = [(i, " ".join(w)) for i, w in enumerate([passage, at_end, long])]
+    got = toxicity.score(spark.createDataFrame(texts, "doc_id long, text string"), model)
+    assert {r["doc_id"]: r["rejected"] for r in got.collect()} == {0: True, 1: True, 2: False}
+
+
+@pytest.mark.parametrize("n", [50, 200, 201, 900])
+def test_worst_window_of_all_windows(n):
+    rng = random.Random(n)
+    held = [(i, rng.choice([["a"], ["b", "c"], ["a", "c"]])) for i in range(n) if rng.random() < 0.05]
+    weights = {"a": 1.0, "b": 0.3, "c": 2.5}
+    score = lambda counts: sum(weights[f] * toxicity.value(k, n) for f, k in counts.items())
+    every = []
+    for start in range(max(1, n - toxicity.WINDOW + 1)):
+        counts = defaultdict(int)
+        for place, own in held:
+            if start <= place < start + toxicity.WINDOW:
+                for f in own:
+                    counts[f] += 1
+        every.append(score(counts))
+    assert toxicity.worst_window(held, score)[0] == pytest.approx(max(every))
+
+
 def test_toxicity_without_labels_rejects_nothing(spark):
     empty = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     model = toxicity.fit(documents(spark), empty)

@@ -243,8 +243,8 @@ def digest(text: str) -> str:
     return hashlib.sha256(text.encode()).hexdigest()
 
 
-def round_trip(docs: DataFrame, path: str, with_ids: bool = False) -> DataFrame:
-    """Rows (doc_id, n_tokens, ids_sha256, decoded_sha256), one per row of `docs`, and the ids if asked for.
+def round_trip(docs: DataFrame, path: str, with_ids: bool = False, carried: tuple[str, ...] = ()) -> DataFrame:
+    """Rows (doc_id, n_tokens, ids_sha256, decoded_sha256), one per row of `docs`, the ids if asked for, columns `carried`.
 
     Every whole text is encoded and its ids are decoded again; a null text counts as empty, an
     empty one has no ids.  The tokenizer file must lie at `path` on every executor.
@@ -260,12 +260,13 @@ def round_trip(docs: DataFrame, path: str, with_ids: bool = False) -> DataFrame:
                 row = [count, digest(ids), digest(decode(ids))]
                 rows.append([*row, np.fromstring(ids, np.int32, sep=" ")] if with_ids else row)
             columns = [pa.array([r[i] for r in rows], kind) for i, kind in enumerate(kinds)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), *columns], names)
+            yield pa.RecordBatch.from_arrays([batch.column(0), *columns, *batch.columns[2:]], [*names, *carried])
 
     schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * with_ids
     names = [c.split()[0] for c in schema.split(", ")]
     kinds = [pa.int64(), pa.string(), pa.string(), pa.list_(pa.int32())][: len(names) - 1]
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), whole_text().alias("text"))
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), whole_text().alias("text"), *carried)
+    schema += "".join(f", {name} {kind}" for name, kind in docs.dtypes[2:])
     return map_batches(docs, run, schema)
 
 

@@ -190,6 +190,12 @@ def mix(
     }).select(*docs.columns, *out)
 
 
+def placed(docs: DataFrame, **options) -> DataFrame:
+    """The rows and columns of `docs` with slot and at of `mix`, written in that order from the first file to the last."""
+    mixed = mix(docs, **options).drop("block", "release", "deadline")
+    return mixed.repartitionByRange("slot", "at").sortWithinPartitions("slot", "at")
+
+
 def interleaved(docs: DataFrame, **options) -> DataFrame:
     """The rows and columns of `docs` in the order of the mix, from the first written file to the last."""
     names = {c: free_name(docs, f"own_{c}") for c in docs.columns if c.lower() in ("block", "release", "deadline", "slot", "at")}

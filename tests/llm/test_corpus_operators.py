@@ -308,6 +308,23 @@ def test_toxicity_without_labels_rejects_nothing(spark):
     assert toxicity.score(nothing(spark), model).count() == 0
 
 
+def test_the_last_stage_keeps_the_order_of_the_mix_over_many_files(spark, sf_dir, tmp_path):
+    stages = dict(corpus_pipeline.STAGES)
+    docs = documents(spark, clashing=False).where("doc_id < 100 and doc_id <> 11 and doc_id <> 10")
+    want = {r["doc_id"]: (r["slot"], r["at"]) for r in mixing.mix(docs).collect()}
+    stages["mixing"](spark, docs, sf_dir).repartition(7).write.parquet(f"{tmp_path}/mixed")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        stages["bpe"](spark, spark.read.parquet(f"{tmp_path}/mixed"), sf_dir).write.parquet(f"{tmp_path}/out")
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    files = sorted(str(f) for f in (tmp_path / "out").glob("part-*"))
+    assert len(files) > 1
+    got = [tuple(r) for f in files for r in spark.read.parquet(f).select("doc_id", "slot", "at").collect()]
+    assert {i: place for i, *place in got} == {i: list(place) for i, place in want.items()}
+    assert len(got) == len(want) and [r[1:] for r in got] == sorted(r[1:] for r in got)
+
+
 def test_pipeline(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     stages = dict(corpus_pipeline.STAGES)

@@ -184,6 +184,8 @@ def predict(docs: DataFrame, learned: DataFrame, known: DataFrame, length: int =
     for block in range(blocks):
         own = learned.where(F.pmod(F.xxhash64("lang"), F.lit(blocks)) == block)
         names = sorted((r["lang"] for r in own.collect()), key=str.encode)
+        if not names:
+            continue
         profile = known.join(own, "lang").select("lang", "gram", "rank").collect()  # at most `length` rows a name
         model = spark.sparkContext.broadcast(_model(profile, names, length))
         rows = map_batches(rows, partial(_nearest, model=model, length=length, places=places), rows.schema)

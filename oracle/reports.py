@@ -678,6 +678,11 @@ QUALITY = {
         f"SELECT '{c}' AS table_name, '{f} -> {p}.{k}' AS \"constraint\", {_orphans(c, f, p, k)} AS violations"
         for c, f, p, k in _REFERENCES
     ),
+    "dq_keys": _all(
+        [f"SELECT 'primary key' AS rule, '{t}' AS table_name, '{k}' AS \"constraint\", {_duplicates(t, k)} AS violations" for t, k in _TABLES.items()]
+        + [f"SELECT 'unique', '{t}', '{c}', {_duplicates(t, c)}" for t, c in _UNIQUE]
+        + [f"SELECT 'reference', '{c}', '{f} -> {p}.{k}', {_orphans(c, f, p, k)}" for c, f, p, k in _REFERENCES]
+    ),
     "dq_check": _all(
         f"SELECT '{t}' AS table_name, '{n}' AS \"constraint\", count(*) AS violations FROM {t} WHERE {b}"
         for t, n, b in _BROKEN
@@ -707,6 +712,20 @@ QUALITY = {
             "SELECT 'dim_date', count(DISTINCT full_date), max(full_date) - min(full_date) + 1 - count(DISTINCT full_date) FROM dim_date"
         ]
     ),
+    "dq_date_gaps": _all(
+        [
+            f"""SELECT '{t}.{c}' AS source, min(d) AS first_day, max(d) AS last_day, count(*) AS days
+                FROM (SELECT d, d - row_number() OVER (ORDER BY d)::INT AS run
+                      FROM (SELECT DISTINCT {c} AS d FROM {t} WHERE {c} IS NOT NULL AND {c} NOT IN (SELECT full_date FROM dim_date)))
+                GROUP BY run"""
+            for t, c in _DATED
+        ]
+        + [
+            """SELECT 'dim_date', a + 1, b - 1, b - a - 1
+               FROM (SELECT full_date AS b, lag(full_date) OVER (ORDER BY full_date) AS a FROM (SELECT DISTINCT full_date FROM dim_date))
+               WHERE b - a > 1"""
+        ]
+    ),
     "dq_orphan_facts": "SELECT table_name, sum(v)::BIGINT AS violations FROM ("
     + _all(f"SELECT '{c}' AS table_name, {_orphans(c, f, p, k)} AS v" for c, f, p, k in _REFERENCES if c.startswith("fact_"))
     + ") GROUP BY table_name",
@@ -725,6 +744,14 @@ QUALITY = {
         QUALIFY row_number() OVER (
             PARTITION BY line_item_id
             ORDER BY m.valid_from DESC, coalesce(m.valid_to, DATE '9999-12-31') DESC, promotion_id DESC) = 1""",
+    "promotion_per_line": """
+        SELECT line_item_id, line.product_id, line_date, promotion_id, discount_rate
+        FROM line LEFT JOIN product_promotions m
+          ON m.product_id = line.product_id
+         AND line_date BETWEEN m.valid_from AND coalesce(m.valid_to, DATE '9999-12-31')
+        QUALIFY row_number() OVER (
+            PARTITION BY line_item_id
+            ORDER BY m.valid_from DESC NULLS LAST, coalesce(m.valid_to, DATE '9999-12-31') DESC, promotion_id DESC) = 1""",
     "view_smoke_counts": _all(
         f"SELECT '{v}' AS view_name, count(*) AS row_count FROM ({VIEWS[v]})"
         for v in (

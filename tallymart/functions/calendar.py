@@ -46,11 +46,32 @@ def quarter_days(y: int, q: int) -> tuple[date, date]:
     return date(y, 3 * q - 2, 1), following - timedelta(days=1)
 
 
+def year_days(y: int) -> tuple[date, date]:
+    """First and last day of a year."""
+    return date(y, 1, 1), date(y, 12, 31)
+
+
+def day_months_before(as_of: date, n: int) -> date:
+    """As ``months_before``, as a day, so that folders can be chosen by it."""
+    month = as_of.year * 12 + as_of.month - 1 - n
+    first = date(month // 12, month % 12 + 1, 1)
+    following = date((month + 1) // 12, (month + 1) % 12 + 1, 1)
+    return first + timedelta(days=min(as_of.day, (following - first).days) - 1)
+
+
 def months_before(as_of: date, n: int) -> Column:
     """The day ``n`` months before; a month end clips."""
     return F.add_months(F.lit(as_of), -n)
 
 
+FOREVER = date(9999, 12, 31)
+
+
+def closed_end(valid_to: str = "valid_to") -> Column:
+    """The window's last day, an open end being the last day there is."""
+    return F.coalesce(F.col(valid_to), F.lit(FOREVER))
+
+
 def covers(d: Column, valid_from: str = "valid_from", valid_to: str = "valid_to") -> Column:
     """The validity window holds day ``d``; an open end is NULL."""
     return (F.col(valid_from) <= d) & (F.col(valid_to).isNull() | (F.col(valid_to) >= d))

@@ -2,56 +2,21 @@
 
 from __future__ import annotations
 
-from datetime import date
-
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallymart.functions.calendar import covers
-
-FOREVER = date(9999, 12, 31)
-
-
-def closed_end(valid_to: str = "valid_to") -> Column:
-    """The window's last day, an open end being the last day there is."""
-    return F.coalesce(F.col(valid_to), F.lit(FOREVER))
-
-
-def longest_per_start(windows: DataFrame, key: str, id_col: str, *values: str) -> DataFrame:
-    """One window per key and first day: the one that lasts longest, then the newest id.
-
-    A day is covered by some window that starts on a given day exactly when it
-    is covered by the longest of them, so a key keeps at most one row per day.
-    """
-    best = F.max(F.struct(closed_end().alias("last_day"), F.col(id_col), *[F.col(v) for v in values])).alias("best")
-    return (
-        windows.groupBy(key, "valid_from")
-        .agg(best)
-        .select(key, "valid_from", F.col("best.last_day").alias("valid_to"), *[f"best.{c}" for c in (id_col, *values)])
-    )
+from tallymart.functions.calendar import closed_end
+from tallymart.operators.intervals import newest_covering
 
 
 def newest_valid(
     rows: DataFrame, windows: DataFrame, key: str, day: str, value: str, id_col: str = "promotion_id"
 ) -> DataFrame:
-    """``rows`` with the id and value of the newest window of its key that covers its day.
+    """``rows`` with the id and value of the newest window of its key that covers its day, null where none does.
 
     Newest is the latest ``valid_from``, then the longest, then the highest id.
-    The answer depends on key and day alone, so it is found once per distinct
-    pair and joined back to the rows; a key with very many rows is looked up at
-    most once per day.
     """
-    candidates = longest_per_start(windows, key, id_col, value)
-    asked = rows.select(key, day).distinct()
-    rank = F.struct("valid_from", "valid_to", id_col, value)
-    found = (
-        asked.join(candidates, key)
-        .filter(covers(F.col(day)))
-        .groupBy(key, day)
-        .agg(F.max(rank).alias("newest"))
-        .select(key, day, F.col(f"newest.{id_col}").alias(id_col), F.col(f"newest.{value}").alias(value))
-    )
-    return rows.join(found, [key, day], "left")
+    return newest_covering(rows, windows, key, day, (id_col, value))
 
 
 def overlapping(windows: DataFrame, key: str, id_col: str) -> DataFrame:

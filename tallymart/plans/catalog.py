@@ -79,16 +79,19 @@ QUALITY: tuple[Report, ...] = (
     quality.dq_primary_key,
     quality.dq_unique,
     quality.dq_foreign_key,
+    quality.dq_keys,
     quality.dq_check,
     quality.dq_orders_without_lines,
     quality.dq_over_returned_lines,
     quality.dq_overlapping_assignments,
     quality.dq_date_coverage,
+    quality.dq_date_gaps,
     quality.dq_orphan_facts,
     quality.dq_cancelled_exclusion,
     quality.dq_customer_name_shape,
     quality.dq_product_name_shape,
     quality.promotion_on_line,
+    quality.promotion_per_line,
     views.view_smoke_counts,
 )
 

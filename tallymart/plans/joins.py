@@ -7,21 +7,21 @@ from pyspark.sql import functions as F
 
 from tallymart.functions import calendar as cal
 from tallymart.functions.money import MONEY, TOTAL, percent, ratio, total
+from tallymart.operators.intervals import covering
 from tallymart.params import ReportParams
 from tallymart.sources.star import Star
 
 
 def full_order_summary(star: Star, p: ReportParams) -> DataFrame:
     """One row per line with its order, customer, geography, rep, product and dates."""
-    wide = star.with_product(star.order_lines(), "product_sku", "product_name", "brand", "product_type")
-    wide = star.with_rep(wide, "employee_code", "rep_name", "job_title")
-    wide = star.with_customer_geo(
-        wide,
+    orders = star.orders_placed(
         "country_name",
         "region_name",
         "territory_name",
         customer=("customer_code", "customer_type", "customer_group", "account_tier"),
     )
+    orders = star.with_rep(orders, "employee_code", "rep_name", "job_title")
+    wide = star.with_product(star.order_lines(orders=orders), "product_sku", "product_name", "brand", "product_type")
     return wide.select(
         "order_id",
         "line_item_id",
@@ -89,9 +89,8 @@ def rep_customer_mismatch(star: Star, p: ReportParams) -> DataFrame:
     windows = star["rep_customer_assignments"].select(
         "customer_id", F.col("sales_rep_id").alias("assigned_sales_rep_id"), "valid_from", "valid_to"
     )
-    mismatched = orders.join(windows, "customer_id").filter(
-        cal.covers(F.col("order_date")) & (F.col("processing_sales_rep_id") != F.col("assigned_sales_rep_id"))
-    )
+    assigned = covering(orders, windows, "customer_id", "order_date")
+    mismatched = assigned.filter(F.col("processing_sales_rep_id") != F.col("assigned_sales_rep_id"))
 
     def reps(role: str) -> DataFrame:
         names = {"sales_rep_id": "sales_rep_id", "employee_code": "employee_code", "rep_name": "rep_name"}
@@ -175,8 +174,7 @@ def line_margin_detail(star: Star, p: ReportParams) -> DataFrame:
 def unordered_products_12m(star: Star, p: ReportParams) -> DataFrame:
     """Active products without a line in the trailing months."""
     recent = (
-        star.lines("product_id", "line_date")
-        .filter(F.col("line_date") >= cal.months_before(p.as_of, p.unsold_months))
+        star.lines_between(cal.day_months_before(p.as_of, p.unsold_months))
         .select("product_id")
         .distinct()
     )
@@ -274,12 +272,8 @@ def multi_product_orders(star: Star, p: ReportParams) -> DataFrame:
 
 def revenue_category_country(star: Star, p: ReportParams) -> DataFrame:
     """Net revenue per product category and customer country."""
-    sales = star.order_lines().select("customer_id", "product_id", "net_amount")
-    per_product = (
-        star.with_customer_geo(sales, "country_name")
-        .groupBy("country_name", "product_id")
-        .agg(total("net_amount").alias("net"))
-    )
+    sales = star.order_lines(orders=star.orders_placed("country_name"))
+    per_product = sales.groupBy("country_name", "product_id").agg(total("net_amount").alias("net"))
     return (
         star.with_product_category(per_product)
         .groupBy("category_name", "country_name")

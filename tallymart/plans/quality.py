@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallymart import schema
@@ -42,58 +43,96 @@ def table_row_counts(star: Star, p: ReportParams) -> DataFrame:
     )
 
 
-def _repeated(df: DataFrame, keys: tuple[str, ...]) -> DataFrame:
-    """One row: rows whose key is NULL or repeats an earlier row's."""
-    null_key = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
-    extra = F.when(null_key, F.col("n")).otherwise(F.col("n") - 1)
-    counted = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
-    return counted.agg(zero(units(extra), "bigint").alias("violations"))
+Columns = tuple[str, ...]
+Reference = tuple[str, str, str, str]
+PRIMARY: tuple[tuple[str, Columns], ...] = tuple((t, (k,)) for t, k in schema.PRIMARY_KEYS.items())
+
+
+def _as_text(cols: Columns) -> Column:
+    """A key as text, NULL if one of its columns is."""
+    texts = [F.col(c).cast("string") for c in cols]
+    if len(texts) == 1:
+        return texts[0]
+    return F.when(reduce(lambda a, b: a & b, [t.isNotNull() for t in texts]), F.to_json(F.array(*texts)))
+
+
+def key_audit(star: Star, unique: Sequence[tuple[str, Columns]], references: Sequence[Reference]) -> DataFrame:
+    """Violations of every given rule: rows (rule, violations), the unique rules first, then the references.
+
+    Every table is scanned once: its row becomes one entry per rule it takes part in, of the key's domain (the
+    table and columns whose values it is), the key as text, and the part: own, or the reference that uses it.
+    Entries of all rules share one shuffle by domain and key, summed per task first; what repeats and what is
+    not there shows in the sums.  A NULL unique key is a violation, a NULL reference refers to nothing.
+    """
+    domains = list(dict.fromkeys([*unique, *((parent, (key,)) for _, _, parent, key in references)]))
+    users: dict[int, list[Reference]] = {i: [] for i in range(len(domains))}
+    for ref in references:
+        users[domains.index((ref[2], (ref[3],)))].append(ref)
+    entries: dict[str, list[tuple[Columns, int, int]]] = {}
+    for i, (table, cols) in enumerate(domains):
+        entries.setdefault(table, []).append((cols, i, 0))
+        for part, (child, column, _, _) in enumerate(users[i], 1):
+            entries.setdefault(child, []).append(((column,), i, part))
+
+    def entry(cols: Columns, domain: int, part: int) -> Column:
+        return F.struct(F.lit(domain).alias("domain"), F.lit(part).alias("part"), _as_text(cols).alias("key"))
+
+    tables = []
+    for table, own in entries.items():
+        rows = _column(star, table, *dict.fromkeys(c for cols, _, _ in own for c in cols))
+        used = F.filter(F.array(*(entry(*e) for e in own)), lambda e: (e["part"] == 0) | e["key"].isNotNull())
+        tables.append(rows.select(F.inline(used)))
+    most = max((len(refs) for refs in users.values()), default=0)
+    summed = _union(tables).groupBy("domain", "key").agg(
+        *(F.count(F.when(F.col("part") == part, True)).alias(f"n{part}") for part in range(most + 1))
+    )
+    extra = F.when(F.col("key").isNull(), F.col("n0")).otherwise(F.greatest(F.col("n0") - 1, F.lit(0)))
+    rules = [F.when(F.col("domain") == domains.index(rule), extra) for rule in unique]
+    for ref in references:
+        domain = domains.index((ref[2], (ref[3],)))
+        part = users[domain].index(ref) + 1
+        rules.append(F.when((F.col("domain") == domain) & (F.col("n0") == 0), F.col(f"n{part}")))
+    found = summed.agg(*(zero(units(rule), "bigint").alias(f"r{i}") for i, rule in enumerate(rules)))
+    return found.select(
+        F.inline(F.array(*(F.struct(F.lit(i).alias("rule"), F.col(f"r{i}").alias("violations")) for i in range(len(rules)))))
+    )
+
+
+def _named(audit: DataFrame, rules: Sequence[Columns], *columns: str) -> DataFrame:
+    """The audit with a rule's number replaced by what names it."""
+    names = F.array(*(F.struct(*(F.lit(v).alias(c) for c, v in zip(columns, rule, strict=True))) for rule in rules))
+    return audit.withColumn("name", F.get(names, F.col("rule"))).select("name.*", "violations")
+
+
+def _reference(ref: Reference) -> Columns:
+    child, column, parent, key = ref
+    return child, f"{column} -> {parent}.{key}"
 
 
 def dq_primary_key(star: Star, p: ReportParams) -> DataFrame:
     """Rows with a missing or repeated primary key, per table."""
-    return _union(
-        [
-            _repeated(_column(star, t, k), (k,)).select(F.lit(t).alias("table_name"), F.lit(k).alias("key"), "violations")
-            for t, k in schema.PRIMARY_KEYS.items()
-        ]
-    )
+    return _named(key_audit(star, PRIMARY, ()), [(t, k) for t, (k,) in PRIMARY], "table_name", "key")
 
 
 def dq_unique(star: Star, p: ReportParams) -> DataFrame:
     """Rows that repeat a unique column set."""
-    return _union(
-        [
-            _repeated(_column(star, t, *cols), cols).select(
-                F.lit(t).alias("table_name"), F.lit(", ".join(cols)).alias("constraint"), "violations"
-            )
-            for t, cols in schema.UNIQUE
-        ]
-    )
-
-
-def _orphans(star: Star, child: str, column: str, parent: str, key: str) -> DataFrame:
-    """One row: child rows whose key has no parent.  Keys are counted before the join."""
-    keys = (
-        _column(star, child, column)
-        .filter(F.col(column).isNotNull())
-        .groupBy(F.col(column).alias("key"))
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
-    parents = _column(star, parent, key).select(F.col(key).alias("key"))
-    return keys.join(parents, "key", "left_anti").agg(zero(units("n"), "bigint").alias("violations"))
+    rules = [(t, ", ".join(cols)) for t, cols in schema.UNIQUE]
+    return _named(key_audit(star, schema.UNIQUE, ()), rules, "table_name", "constraint")
 
 
 def dq_foreign_key(star: Star, p: ReportParams) -> DataFrame:
     """Child rows without a parent, per reference; a NULL key refers to nothing."""
-    return _union(
-        [
-            _orphans(star, child, column, parent, key).select(
-                F.lit(child).alias("table_name"), F.lit(f"{column} -> {parent}.{key}").alias("constraint"), "violations"
-            )
-            for child, column, parent, key in schema.FOREIGN_KEYS
-        ]
-    )
+    rules = [_reference(r) for r in schema.FOREIGN_KEYS]
+    return _named(key_audit(star, (), schema.FOREIGN_KEYS), rules, "table_name", "constraint")
+
+
+def dq_keys(star: Star, p: ReportParams) -> DataFrame:
+    """Violations of all primary keys, unique sets and references, every table read once."""
+    rules = [("primary key", t, k) for t, (k,) in PRIMARY]
+    rules += [("unique", t, ", ".join(cols)) for t, cols in schema.UNIQUE]
+    rules += [("reference", *_reference(r)) for r in schema.FOREIGN_KEYS]
+    audit = key_audit(star, (*PRIMARY, *schema.UNIQUE), schema.FOREIGN_KEYS)
+    return _named(audit, rules, "rule", "table_name", "constraint")
 
 
 def dq_check(star: Star, p: ReportParams) -> DataFrame:
@@ -166,10 +205,41 @@ def dq_date_coverage(star: Star, p: ReportParams) -> DataFrame:
     return _union([*parts, holes])
 
 
+def _runs(days: DataFrame) -> DataFrame:
+    """Days (source, day), distinct, as runs of days that follow each other: first_day, last_day, days."""
+    place = F.row_number().over(Window.partitionBy("source").orderBy("day"))
+    runs = days.withColumn("place", place).groupBy("source", F.date_sub("day", F.col("place")).alias("run"))
+    return runs.agg(F.min("day").alias("first_day"), F.max("day").alias("last_day"), F.count(F.lit(1)).alias("days")).drop("run")
+
+
+def dq_date_gaps(star: Star, p: ReportParams) -> DataFrame:
+    """Every stretch of days that the calendar lacks: days a fact uses, per date column, and holes in the calendar.
+
+    Dates are reduced to distinct days per column in one pass over a table; all that follows works on days.
+    """
+    used = []
+    for table in dict.fromkeys(t for t, _ in FACT_DATES):
+        columns = [c for t, c in FACT_DATES if t == table]
+        days = F.array(*(F.struct(F.lit(f"{table}.{c}").alias("source"), F.col(c).alias("day")) for c in columns))
+        used.append(_column(star, table, *columns).select(F.inline(days)).distinct())
+    calendar = star["dim_date"].select(F.col("full_date").alias("day")).distinct()
+    missing = _union(used).filter(F.col("day").isNotNull()).join(calendar, "day", "left_anti")
+    before = F.lag("day").over(Window.partitionBy("source").orderBy("day"))
+    holes = (
+        calendar.filter(F.col("day").isNotNull()).select(F.lit("dim_date").alias("source"), "day").withColumn("before", before)
+        .filter(F.datediff("day", "before") > 1)
+        .select(
+            "source", F.date_add("before", 1).alias("first_day"), F.date_sub("day", 1).alias("last_day"),
+            (F.datediff("day", "before") - 1).cast("bigint").alias("days"),
+        )
+    )
+    return _runs(missing.select("source", "day")).unionByName(holes)
+
+
 def dq_orphan_facts(star: Star, p: ReportParams) -> DataFrame:
     """Fact rows with a missing parent, summed per fact table."""
-    refs = [r for r in schema.FOREIGN_KEYS if r[0].startswith("fact_")]
-    each = _union([_orphans(star, *r).select(F.lit(r[0]).alias("table_name"), "violations") for r in refs])
+    refs = tuple(r for r in schema.FOREIGN_KEYS if r[0].startswith("fact_"))
+    each = _named(key_audit(star, (), refs), [(r[0],) for r in refs], "table_name")
     return each.groupBy("table_name").agg(units("violations").alias("violations"))
 
 
@@ -215,10 +285,13 @@ def dq_product_name_shape(star: Star, p: ReportParams) -> DataFrame:
     return star["dim_products"].filter(two_word_name("product_name"))
 
 
-def promotion_on_line(star: Star, p: ReportParams) -> DataFrame:
-    """Lines sold while a promotion of their product was valid, with the newest such promotion."""
+def promotion_per_line(star: Star, p: ReportParams) -> DataFrame:
+    """Every line with the newest promotion of its product that was valid on its day, NULL where none was."""
     lines = star.lines("line_item_id", "product_id", "line_date")
     found = newest_valid(lines, star["product_promotions"], "product_id", "line_date", "discount_rate")
-    return found.filter(F.col("promotion_id").isNotNull()).select(
-        "line_item_id", "product_id", "line_date", "promotion_id", "discount_rate"
-    )
+    return found.select("line_item_id", "product_id", "line_date", "promotion_id", "discount_rate")
+
+
+def promotion_on_line(star: Star, p: ReportParams) -> DataFrame:
+    """Lines sold while a promotion of their product was valid, with the newest such promotion."""
+    return promotion_per_line(star, p).filter(F.col("promotion_id").isNotNull())

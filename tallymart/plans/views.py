@@ -8,6 +8,7 @@ the tier 1 rows; the figures are the same.
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import date
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -53,10 +54,11 @@ def _rep_region(star: Star, df: DataFrame) -> DataFrame:
 
 def vw_base_order_line_detail(star: Star, p: ReportParams) -> DataFrame:
     """Sales lines with customer country, rep geography, product and line date."""
-    lines = star.with_product_category(star.order_lines(), "product_sku", "product_name", "unit_cost")
-    lines = star.with_customer_geo(lines, "country_name").withColumnRenamed("country_name", "customer_country_name")
+    orders = star.orders_placed("country_name").withColumnRenamed("country_name", "customer_country_name")
+    lines = star.order_lines(orders=_rep_region(star, orders))
+    lines = star.with_product_category(lines, "product_sku", "product_name", "unit_cost")
     day = F.col("line_date")
-    return _rep_region(star, lines).select(
+    return lines.select(
         "line_item_id",
         "order_id",
         "order_status",
@@ -124,8 +126,8 @@ def vw_base_return_detail(star: Star, p: ReportParams) -> DataFrame:
 
 def vw_base_channel(star: Star, p: ReportParams) -> DataFrame:
     """Sales lines with customer tier and geography."""
-    lines = star.with_customer_geo(star.order_lines(), "region_name", "country_name", customer=("account_tier",))
-    return lines.select(
+    orders = star.orders_placed("region_name", "country_name", customer=("account_tier",))
+    return star.order_lines(orders=orders).select(
         "order_id",
         "customer_id",
         "account_tier",
@@ -147,7 +149,7 @@ def vw_base_orders(star: Star, p: ReportParams) -> DataFrame:
 
 def vw_base_country_category_sales(star: Star, p: ReportParams) -> DataFrame:
     """Sales lines with customer country, category and order month."""
-    lines = star.with_customer_geo(star.order_lines(), "country_name")
+    lines = star.order_lines(orders=star.orders_placed("country_name"))
     return star.with_product_category(lines).select(
         "order_id",
         cal.year("order_date"),
@@ -182,6 +184,11 @@ def vw_summary_sales_executive(star: Star, p: ReportParams) -> DataFrame:
     sales = sales.groupBy("sales_rep_id", "period_start_date").agg(
         F.count(F.lit(1)).alias("orders"), total("net").alias("net"), total("cost").alias("cost")
     )
+    return executive_figures(star, sales)
+
+
+def executive_figures(star: Star, sales: DataFrame) -> DataFrame:
+    """The executive summary from orders, net and cost per rep and month."""
     quotas = (
         star["fact_quotas"]
         .filter(F.col("quota_period") == "Monthly")
@@ -211,7 +218,6 @@ def vw_summary_sales_executive(star: Star, p: ReportParams) -> DataFrame:
 
 def vw_summary_customer_360(star: Star, p: ReportParams) -> DataFrame:
     """Every customer with revenue, frequency, return rate, assigned rep and segment."""
-    t = p.profile
     since = cal.months_before(p.as_of, 12)
     dated = star.dated_values(net=total("net_amount"), sold=units("quantity")).filter(NOT_CANCELLED)
     per_order = dated.groupBy("order_id", "customer_id").agg(
@@ -234,6 +240,12 @@ def vw_summary_customer_360(star: Star, p: ReportParams) -> DataFrame:
         .groupBy("customer_id")
         .agg(units("returned").alias("returned"))
     )
+    return customer_profiles(star, p, sales.join(returned, "customer_id", "left"))
+
+
+def customer_profiles(star: Star, p: ReportParams, sales: DataFrame) -> DataFrame:
+    """The customer 360 from sums per customer that ordered."""
+    t = p.profile
     # A current assignment before a past one, then the latest, then the highest id.
     best = F.max(F.struct("is_active", "valid_from", "assignment_id", "sales_rep_id")).alias("best")
     assigned = (
@@ -262,7 +274,6 @@ def vw_summary_customer_360(star: Star, p: ReportParams) -> DataFrame:
         star["dim_customers"]
         .select("customer_id", "customer_code", "customer_name", "account_tier")
         .join(sales, "customer_id", "left")
-        .join(returned, "customer_id", "left")
         .join(assigned, "customer_id", "left")
         .select(
             "customer_id",
@@ -293,7 +304,12 @@ def vw_summary_product_performance(star: Star, p: ReportParams) -> DataFrame:
     returned = (
         per_line.join(valid, "order_id", "left_semi").groupBy("product_id").agg(units("returned").alias("returned"))
     )
-    named = star.with_product_category(sold.join(returned, "product_id", "left"), "product_sku", "product_name", "unit_cost")
+    return product_figures(star, sold.join(returned, "product_id", "left"))
+
+
+def product_figures(star: Star, sold: DataFrame) -> DataFrame:
+    """The product performance from units sold, net revenue and units returned per product that was sold."""
+    named = star.with_product_category(sold, "product_sku", "product_name", "unit_cost")
     ranked = position_by(named, ["category_name"], ["net_revenue"], "product_id", "category_revenue_rank")
     profit = F.col("net_revenue") - F.col("total_units_sold") * F.col("unit_cost")
     return ranked.select(
@@ -311,10 +327,8 @@ def vw_summary_product_performance(star: Star, p: ReportParams) -> DataFrame:
 
 def vw_summary_rep_performance(star: Star, p: ReportParams) -> DataFrame:
     """Active reps: revenue, quota, attainment and customers, quarter and year to date."""
-    year = p.as_of.year
-    in_quarter = cal.in_quarter("line_date", year, (p.as_of.month + 2) // 3)
-    to_date = star.dated_values(net=total("net_amount")).filter(NOT_CANCELLED)
-    to_date = to_date.filter(cal.in_year("line_date", year) & (F.col("line_date") <= F.lit(p.as_of)))
+    in_quarter = cal.in_quarter("line_date", p.as_of.year, (p.as_of.month + 2) // 3)
+    to_date = star.dated_values(since=date(p.as_of.year, 1, 1), until=p.as_of, net=total("net_amount")).filter(NOT_CANCELLED)
     # One row per rep and customer, so that customers are counted, not collected.
     per_customer = to_date.groupBy("sales_rep_id", "customer_id").agg(
         total("net").alias("ytd"),
@@ -327,6 +341,12 @@ def vw_summary_rep_performance(star: Star, p: ReportParams) -> DataFrame:
         total("ytd").alias("ytd_net"),
         F.count(F.lit(1)).alias("ytd_customers"),
     )
+    return rep_figures(star, p, sales)
+
+
+def rep_figures(star: Star, p: ReportParams, sales: DataFrame) -> DataFrame:
+    """The rep performance from net revenue and customers per rep, quarter and year to date."""
+    year = p.as_of.year
     due = (F.col("quota_period") == "Monthly") & (F.col("quota_date") <= F.lit(p.as_of))
     quota_in_quarter = cal.in_quarter("quota_date", year, (p.as_of.month + 2) // 3)
     quotas = (
@@ -391,10 +411,16 @@ def vw_summary_rep_performance(star: Star, p: ReportParams) -> DataFrame:
 
 def vw_summary_monthly_trend(star: Star, p: ReportParams) -> DataFrame:
     """Orders, revenue and change to the previous month with sales, per customer country."""
+    per_order = _per_order_month(star, net=total("net_amount")).withColumn("orders", F.lit(1))
+    return trend_figures(star, per_order)
+
+
+def trend_figures(star: Star, sales: DataFrame) -> DataFrame:
+    """The monthly trend from orders and net revenue per month and customer, or finer."""
     monthly = (
-        star.with_customer_geo(_per_order_month(star, net=total("net_amount")), "country_name")
+        star.with_customer_geo(sales, "country_name")
         .groupBy("period_start_date", "country_name")
-        .agg(F.count(F.lit(1)).alias("order_volume"), total("net").alias("net_revenue"))
+        .agg(units("orders").alias("order_volume"), total("net").alias("net_revenue"))
     )
     before = F.lag("net_revenue").over(Window.partitionBy("country_name").orderBy("period_start_date"))
     trend = monthly.withColumn("before", before)

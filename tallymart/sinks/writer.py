@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import os
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable, Mapping
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,30 +12,16 @@ from pyspark.sql import functions as F
 from tallymart import schema
 from tallymart.params import ReportParams
 from tallymart.plans.quality import dq_over_returned_lines, dq_overlapping_assignments
+from tallymart.plans.stored import StoredViews, refresh, stored_sums
 from tallymart.plans.views import TIERS, VIEWS
+from tallymart.sinks.releases import MONTH, NO_MONTH, Release
+from tallymart.sources.mart import LOAD_ORDER, load_mart, open_mart
 from tallymart.sources.star import Day, Star
 
-# Parents before children, so that a reader never sees a child without its parent table.
-LOAD_ORDER = (
-    "dim_regions",
-    "dim_categories",
-    "dim_date",
-    "dim_sales_reps",
-    "dim_customers",
-    "dim_products",
-    "rep_customer_assignments",
-    "product_promotions",
-    "fact_quotas",
-    "fact_sales_orders",
-    "fact_order_line_items",
-    "fact_returns",
-)
-
 
-def replace_all(star: Star, path: str) -> None:
-    """Replace every table under ``path``.  ``path`` must not be what ``star`` reads."""
-    for table in LOAD_ORDER:
-        star[table].select(*schema.columns_of(table)).write.mode("overwrite").parquet(os.path.join(path, table))
+def replace_all(star: Star, path: str) -> Release:
+    """Replace the mart under ``path`` by the star's rows, all tables at once: readers see the former one until then."""
+    return load_mart(star, path)
 
 
 # -- layout ------------------------------------------------------------------
@@ -55,9 +41,6 @@ CLUSTERING: dict[str, tuple[str, tuple[str, ...]]] = {
 
 # Tables kept in a folder per month, and the date whose month it is; lines go by their order's.
 MONTHLY = {"fact_sales_orders": "order_date", "fact_order_line_items": "order_date", "fact_quotas": "quota_date"}
-MONTH = "layout_month"
-# A line without its order.
-NO_MONTH = date(1000, 1, 1)
 
 
 def layout_tables(star: Star, database: str, path: str, buckets: int) -> None:
@@ -100,9 +83,7 @@ class LaidOutStar(Star):
         return df.select(*schema.columns_of(table))
 
     def orders_dated(self, since: Day | None = None, until: Day | None = None) -> DataFrame:
-        orders = self._months("fact_sales_orders", since, until)
-        orders = orders if since is None else orders.filter(F.col("order_date") >= F.lit(since))
-        return orders if until is None else orders.filter(F.col("order_date") <= F.lit(until))
+        return self.dated(self._months("fact_sales_orders", since, until), since, until)
 
     def lines_dated(self, since: Day | None = None, until: Day | None = None) -> DataFrame:
         return self._months("fact_order_line_items", since, until)
@@ -169,7 +150,12 @@ class StaleSnapshot(LookupError):
 
 
 def materialize_views(
-    star: Star, p: ReportParams, path: str, names: Iterable[str] = SNAPSHOTS, gated: bool = True
+    star: Star,
+    p: ReportParams,
+    path: str,
+    names: Iterable[str] = SNAPSHOTS,
+    gated: bool = True,
+    views: Mapping[str, Callable[[Star, ReportParams], DataFrame]] = VIEWS,
 ) -> list[str]:
     """Write a snapshot of each view under ``path/<view>/as_of=<day>``.
 
@@ -183,12 +169,29 @@ def materialize_views(
             raise PublicationBlocked(f"{name} waits until {check} is empty")
     for name in names:
         target = os.path.join(path, name)
-        snapshot = VIEWS[name](star, p).withColumn("as_of", F.lit(p.as_of))
+        snapshot = views[name](star, p).withColumn("as_of", F.lit(p.as_of))
         snapshot.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("as_of").parquet(target)
         written.append(target)
     return written
 
 
+def refresh_views(
+    spark: SparkSession,
+    mart_path: str,
+    sums_path: str,
+    p: ReportParams,
+    path: str,
+    names: Iterable[str] = SNAPSHOTS,
+    gated: bool = True,
+) -> set[str]:
+    """Snapshots of the mart's current release from its stored sums; the order months whose sums were written anew."""
+    release, months = refresh(spark, mart_path, sums_path)
+    star = open_mart(spark, mart_path, release.notes["mart"])
+    stored = StoredViews(stored_sums(spark, sums_path), release)
+    materialize_views(star, p, path, names, gated, stored.all())
+    return months
+
+
 def read_current(spark: SparkSession, path: str, name: str, today: date) -> DataFrame:
     """The newest snapshot of a view, which must be no older than the view's tolerance."""
     tolerance = {n: days for n, _, days in REFRESH}[name]

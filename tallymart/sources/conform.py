@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from tallymart import schema
 from tallymart.functions.money import MONEY
 from tallymart.sources.generate import date_rows
-from tallymart.sources.star import Star
+from tallymart.sources.star import Day, Star
 
 # Fixed values of the derived mart.
 EPOCH = date(1995, 1, 1)
@@ -389,8 +389,20 @@ class ConformedStar(Star):
     def bare_lines(self) -> DataFrame:
         return self._undated_lines.drop("line_number", "return_flag")
 
-    def dated_values(self, prepare: Callable[[DataFrame], DataFrame] | None = None, **sums: Column) -> DataFrame:
-        return self.order_values(prepare, **sums).withColumn("line_date", F.col("order_date"))
+    def order_lines(
+        self, since: Day | None = None, until: Day | None = None, orders: DataFrame | None = None
+    ) -> DataFrame:
+        orders = self["fact_sales_orders"] if orders is None else orders
+        return self.with_order(self.bare_lines(), self.dated(orders, since, until))
+
+    def dated_values(
+        self,
+        prepare: Callable[[DataFrame], DataFrame] | None = None,
+        since: Day | None = None,
+        until: Day | None = None,
+        **sums: Column,
+    ) -> DataFrame:
+        return self.order_values(prepare, since, until, **sums).withColumn("line_date", F.col("order_date"))
 
 
 def conform(spark: SparkSession, path: str, spare_keys: bool = False) -> ConformedStar:

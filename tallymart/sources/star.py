@@ -54,9 +54,23 @@ class Star:
         """Attach columns of all or the given orders to rows of ``bare_lines``; the result holds ``line_date``."""
         return lines.join(self["fact_sales_orders"] if orders is None else orders, "order_id")
 
-    def order_lines(self) -> DataFrame:
-        """Every line with its order's columns."""
-        return self.with_order(self.bare_lines())
+    def order_lines(
+        self, since: Day | None = None, until: Day | None = None, orders: DataFrame | None = None
+    ) -> DataFrame:
+        """Every line with its order's columns; ``since`` and ``until`` bound the line date.
+
+        ``orders`` may hold attributes of the order's customer and rep: attached to
+        orders they cost a join of orders, attached to lines a join of lines.
+        """
+        return self.with_order(self.lines_between(since, until) if since or until else self.bare_lines(), orders)
+
+    def orders_placed(self, *region: str, customer: tuple[str, ...] = ()) -> DataFrame:
+        """Orders with region columns of their customer, and customer columns."""
+        return self.with_customer_geo(self["fact_sales_orders"], *region, customer=customer)
+
+    def lines_between(self, since: Day | None = None, until: Day | None = None) -> DataFrame:
+        """Lines of the days from ``since`` to ``until``; a layout with bounds of line dates leaves out other folders."""
+        return self.dated(self["fact_order_line_items"], since, until, "line_date")
 
     def bare_lines(self) -> DataFrame:
         """Lines that are yet to meet their order; need not hold the line date."""
@@ -80,11 +94,15 @@ class Star:
         """
         return self.with_order(per_line.join(self.bare_lines(), "line_item_id"))
 
+    @staticmethod
+    def dated(rows: DataFrame, since: Day | None, until: Day | None, day: str = "order_date") -> DataFrame:
+        """Rows of the days from ``since`` to ``until``."""
+        rows = rows if since is None else rows.filter(F.col(day) >= F.lit(since))
+        return rows if until is None else rows.filter(F.col(day) <= F.lit(until))
+
     def orders_dated(self, since: Day | None = None, until: Day | None = None) -> DataFrame:
         """Orders of the days from ``since`` to ``until``."""
-        orders = self["fact_sales_orders"]
-        orders = orders if since is None else orders.filter(F.col("order_date") >= F.lit(since))
-        return orders if until is None else orders.filter(F.col("order_date") <= F.lit(until))
+        return self.dated(self["fact_sales_orders"], since, until)
 
     def lines_dated(self, since: Day | None = None, until: Day | None = None) -> DataFrame:
         """Bare lines, at least those of orders of these days; a layout by month leaves out other months."""
@@ -107,9 +125,15 @@ class Star:
         per_order = lines.groupBy("order_id").agg(*[c.alias(n) for n, c in sums.items()])
         return per_order.join(self.orders_dated(since, until), "order_id")
 
-    def dated_values(self, prepare: Callable[[DataFrame], DataFrame] | None = None, **sums: Column) -> DataFrame:
-        """As ``order_values`` but one row per order and line date."""
-        lines = self["fact_order_line_items"]
+    def dated_values(
+        self,
+        prepare: Callable[[DataFrame], DataFrame] | None = None,
+        since: Day | None = None,
+        until: Day | None = None,
+        **sums: Column,
+    ) -> DataFrame:
+        """As ``order_values`` but one row per order and line date, which ``since`` and ``until`` bound."""
+        lines = self.lines_between(since, until)
         lines = prepare(lines) if prepare else lines
         per_day = lines.groupBy("order_id", "line_date").agg(*[c.alias(n) for n, c in sums.items()])
         return per_day.join(self["fact_sales_orders"], "order_id")
@@ -157,11 +181,15 @@ def _real_dates(table: str, df: DataFrame, calendar: DataFrame) -> DataFrame:
 
 
 def load_star(spark: SparkSession, path: str) -> Star:
-    """The star stored as one parquet directory per table under ``path``.
+    """The star stored under ``path``: the current release of a mart, or one parquet directory per table.
 
-    Columns are read by name and brought to the declared types.  Facts may hold
-    real dates or ids of the date dimension.
+    Columns of plain directories are read by name and brought to the declared
+    types.  Facts may hold real dates or ids of the date dimension.
     """
+    from tallymart.sources.mart import mart_store, open_mart  # they build on this module
+
+    if mart_store(spark, path).numbers():
+        return open_mart(spark, path)
 
     def read(table: str) -> Callable[[], DataFrame]:
         def plan() -> DataFrame:

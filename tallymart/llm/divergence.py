@@ -100,6 +100,8 @@ def _placed(kept: DataFrame, chunk: int) -> DataFrame:
     kept = kept.withColumn("band", F.floor(F.log2(F.col("lang_n").cast("double"))).cast("int"))
     bands = kept.groupBy("lang", "band").agg(F.ceil(F.count("*") / chunk).cast("long").alias("chunks"))
     dealt = kept.join(bands, ["lang", "band"]).withColumn("chunk", F.pmod(F.xxhash64("term"), F.col("chunks")))
+    # else a join's partitions by band would serve the window, and a band's terms stay in one task
+    dealt = dealt.repartition("lang", "band", "chunk")
     place = F.row_number().over(Window.partitionBy("lang", "band", "chunk").orderBy("term")) - 1
     return dealt.withColumn("place", place).select(
         "lang", "term", "lang_n", "band", "chunk",

@@ -7,20 +7,18 @@ radius `R` of an anchor (code word).  A fingerprint is at home at its nearest an
 to every anchor within ``R + near``; two values within `near` of each other therefore meet at the
 home of either.  Each anchor compares its home fingerprints with all its copies and passes on a
 spanning forest of the links found, never all pairs.
-
-`similar_groups` groups by the Jaccard similarity of shingle sets instead and reads no fingerprints.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallymart.llm.components import components
@@ -31,9 +29,7 @@ SEED = 42
 CHUNK = 1 << 15  # shingles hashed at once
 BLOCK = 1 << 22  # comparisons held at once
 CROWD = 4096  # home fingerprints of an anchor that one group compares
-SHARE, SHARE_ROWS = 16, 10_000  # one row in so many, but so many rows at least, tells which shingles are frequent
-FREQUENT = 1 << 17  # shingles known to be frequent; the order of the others is open
-SLACK = 1e-9  # for rounding, of products that should be whole
+NO_ID = (1 << 63) - 1  # where rows without a doc_id stand among the others
 
 
 def fingerprint(text: str, words: int) -> int:
@@ -89,8 +85,6 @@ SHORT = Cover(
     )
 )
 LONG = Cover(((("hamming", 31), ("free", 1)), (("hamming", 31), ("free", 1))))
-#: Four pieces, for distances of 8 to 11 bits.
-WIDE = Cover(((("hamming", 15), ("free", 1)),) * 4)
 LONG_FROM = 1 << 27  # fingerprints from which the long pieces are the cheaper choice
 
 
@@ -182,18 +176,6 @@ def forest(home: np.ndarray, other: np.ndarray, distance: int) -> tuple[np.ndarr
     return _span(left, right) if len(left) else (left, right)
 
 
-def within(home: np.ndarray, other: np.ndarray, distance: int) -> tuple[np.ndarray, np.ndarray]:
-    """All pairs (home, other) within `distance` bits, the smaller signed number first."""
-    found = [np.zeros((2, 0), "<i8")]
-    step = max(1, BLOCK // max(1, len(other)))
-    for i in range(0, len(home), step):
-        a, b = np.nonzero(np.bitwise_count(home[i : i + step, None] ^ other[None, :]) <= distance)
-        both = np.stack([home[a + i], other[b]]).view("<i8")
-        found.append(np.sort(both[:, both[0] != both[1]], axis=0))
-    left, right = np.unique(np.concatenate(found, axis=1), axis=1)
-    return left.view("<u8"), right.view("<u8")
-
-
 def _span(left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """At most one link per node, from it to its smallest reachable node: minima spread until they rest."""
     nodes, flat = np.unique(np.concatenate([left, right]), return_inverse=True)
@@ -229,8 +211,13 @@ def _spread(fps: DataFrame, cover: Cover, distance: int, home_only: bool = False
     return map_batches(fps.select("fp"), run, "anchor long, fp long, home boolean")
 
 
-def _met(fps: DataFrame, distance: int, cover: Cover, compare: Callable) -> DataFrame:
-    """Rows (a, b): what `compare` makes of the home fingerprints and all copies of each anchor."""
+def links(fps: DataFrame, distance: int = 4, cover: Cover | None = None) -> DataFrame:
+    """Rows (a, b): links that connect all distinct fingerprints `fp` within `distance` bits of each other.
+
+    Which links stand for a connected set is open; the sets they connect are exact.
+    """
+    if cover is None:
+        cover = LONG if fps.count() >= LONG_FROM else SHORT
     # A crowded anchor is dealt to several groups: each takes a share of its home fingerprints and all its copies.
     crowded = (
         _spread(fps, cover, distance, home_only=True).groupBy("anchor").count().where(F.col("count") > CROWD)
@@ -250,7 +237,7 @@ def _met(fps: DataFrame, distance: int, cover: Cover, compare: Callable) -> Data
         held: list[tuple[np.ndarray, np.ndarray]] = []
         for fps, home in _runs(batches):
             if home.any() and len(fps) > 1:
-                left, right = compare(fps[home], fps, distance)
+                left, right = forest(fps[home], fps, distance)
                 if len(left):
                     held.append((left, right))
             if sum(len(x) for x, _ in held) >= CHUNK:
@@ -262,21 +249,6 @@ def _met(fps: DataFrame, distance: int, cover: Cover, compare: Callable) -> Data
     return map_batches(ordered, run, "a long, b long").distinct()
 
 
-def links(fps: DataFrame, distance: int = 4, cover: Cover | None = None) -> DataFrame:
-    """Rows (a, b): links that connect all distinct fingerprints `fp` within `distance` bits of each other.
-
-    Which links stand for a connected set is open; the sets they connect are exact.
-    """
-    if cover is None:
-        cover = LONG if fps.count() >= LONG_FROM else SHORT
-    return _met(fps, distance, cover, forest)
-
-
-def pairs(fps: DataFrame, distance: int, cover: Cover = WIDE) -> DataFrame:
-    """Rows (a, b), a < b: all pairs of distinct fingerprints `fp` within `distance` bits of each other."""
-    return _met(fps, distance, cover, within)
-
-
 def _batch(held: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
     sides = [np.concatenate([np.zeros(0, "<u8"), *(x[i] for x in held)]).view("<i8") for i in (0, 1)]
     return pa.RecordBatch.from_arrays([pa.array(x) for x in sides], ["a", "b"])
@@ -306,6 +278,18 @@ def _joined(runs: list[tuple[np.ndarray, ...]]) -> tuple[np.ndarray, np.ndarray]
     return fps.astype("<i8").view("<u8"), home.astype(bool)
 
 
+def _grouped(docs: DataFrame, words: int, distance: int, cover: Cover | None) -> tuple[DataFrame, DataFrame]:
+    """Rows (doc_id, text_hash, fp) of every row, and (fp, first) of every fingerprint: of the rows that it
+    reaches the one with the smallest doc_id, then the smallest text hash; rows without a doc_id come last."""
+    rows = settle(fingerprints(docs, words), "fingerprints")
+    first = F.min(F.struct(F.coalesce("doc_id", F.lit(NO_ID)).alias("place"), "doc_id", "text_hash")).alias("first")
+    classes = settle(rows.groupBy("fp").agg(first), "classes")
+    roots = components(links(classes, distance, cover))
+    linked = classes.join(roots, F.col("fp") == F.col("node"), "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
+    firsts = linked.groupBy("root").agg(F.min("first").alias("first"))
+    return rows, settle(linked.drop("first").join(firsts, "root").select("fp", "first"), "members")
+
+
 def near_duplicates(docs: DataFrame, words: int = 4, distance: int = 4, cover: Cover | None = None) -> DataFrame:
     """Rows (doc_id, fingerprint, component_id), one per row of `docs`.
 
@@ -313,190 +297,19 @@ def near_duplicates(docs: DataFrame, words: int = 4, distance: int = 4, cover: C
     other.  Repeated rows are rows of one class.  `component_id` is the smallest doc_id that is
     reachable, null if none of the rows reached has a doc_id.  Other columns are not read.
     """
-    rows = settle(fingerprints(docs, words).drop("text_hash"), "fingerprints")
-    classes = settle(rows.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "classes")
-    roots = components(links(classes, distance, cover))
-    linked = classes.join(roots, F.col("fp") == F.col("node"), "left").select(
-        "fp", "first_id", F.coalesce("root", "fp").alias("root")
-    )
-    firsts = linked.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    found = settle(linked.join(firsts, "root").select("fp", "component_id"), "members")
-    return rows.join(found, "fp", "left").select(
-        "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id"
-    )
-
-
-def shingles(text: str, words: int) -> np.ndarray:
-    """The distinct XXH64 hashes (seed 42) of a text's shingles, sorted; none without words."""
-    parts = text.encode().lower().split()
-    n = max(1, len(parts) - words + 1) if parts else 0
-    joined = (b" ".join(parts[i : i + words]) for i in range(n))
-    return np.unique(np.fromiter((xxhash.xxh64_intdigest(x, SEED) for x in joined), "<u8", n))
-
-
-def shingle_sets(docs: DataFrame, words: int) -> DataFrame:
-    """Rows (key, shingles): the shingles of each text beside its column `key`."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            sets = [shingles(t.as_py(), words).view("<i8") for t in batch.column(1)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.list_(pa.int64()))], ["key", "shingles"])
-
-    return map_batches(docs.select("key", "text"), run, "key long, shingles array<long>")
-
-
-def frequent(docs: DataFrame, words: int) -> tuple[np.ndarray, np.ndarray]:
-    """Frequent shingles, sorted, and their counts in a share of the rows.
-
-    They only decide the order of shingles: each order leads to the same pairs, this one to few candidates.
-    """
-    share = min(SHARE, max(1, docs.count() // SHARE_ROWS))
-    some = docs.where(F.pmod(F.xxhash64("doc_id"), F.lit(share)) == 0).select(
-        F.lit(0).cast("long").alias("key"), whole_text().alias("text")
-    )
-    found = (
-        shingle_sets(some, words).select(F.explode("shingles").alias("shingle")).groupBy("shingle").count()
-        .where("count > 2").orderBy(F.desc("count"), "shingle").limit(FREQUENT).toArrow()
-    )
-    known = found["shingle"].to_numpy().astype("<i8").view("<u8")
-    order = np.argsort(known)
-    return known[order], found["count"].to_numpy()[order]
-
-
-def least_shared(similarity: float, n: int) -> int:
-    """Fewest shingles that a set of `n` shares with any set of that Jaccard similarity."""
-    return int(np.ceil(similarity * n - SLACK))
-
-
-def prefixes(docs: DataFrame, words: int, similarity: float) -> DataFrame:
-    """Rows (doc_id, text_hash, key, size, prefix): a text's class (equal shingle sets), the size of its
-    set and its first shingles in one order of all (rare ones first), so many that two sets of the
-    similarity share one of them."""
-    known, counts = frequent(docs, words)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            keys, sizes, firsts = [], [], []
-            for text in batch.column(2):
-                own = shingles(text.as_py(), words)
-                keys.append(xxhash.xxh64_intdigest(own.tobytes(), SEED))
-                sizes.append(len(own))
-                if len(known) and len(own):
-                    at = np.minimum(np.searchsorted(known, own), len(known) - 1)
-                    level = np.where(known[at] == own, counts[at], 0)
-                    ordered = own[np.argsort(level, kind="stable")]
-                else:
-                    ordered = own
-                firsts.append(ordered[: len(own) - least_shared(similarity, len(own)) + 1].view("<i8"))
-            columns = [
-                *batch.columns[:2], pa.array(np.array(keys, "<u8").view("<i8")), pa.array(sizes, pa.int32()),
-                pa.array(firsts, pa.list_(pa.int64())),
-            ]
-            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "text_hash", "key", "size", "prefix"])
-
-    text = whole_text()
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("text_hash"), text.alias("text"))
-    return map_batches(docs, run, "doc_id long, text_hash long, key long, size int, prefix array<long>")
-
-
-def _alike(docs: DataFrame, classes: DataFrame, asked: DataFrame, words: int, similarity: float) -> DataFrame:
-    """The pairs (a, b) of classes `asked` whose shingle sets have the similarity."""
-    keys = asked.select(F.explode(F.array("a", "b")).alias("key")).distinct()
-    wanted = classes.join(keys, "key", "left_semi").select(
-        "key", F.col("first.doc_id").alias("head_id"), F.col("first.text_hash").alias("head_hash")
-    )
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), whole_text().alias("text")).join(
-        wanted, F.col("doc_id").eqNullSafe(F.col("head_id")) & (F.xxhash64("text") == F.col("head_hash"))
-    )
-    sets = settle(shingle_sets(texts, words).dropDuplicates(["key"]), "shingles")
-    left = sets.select(F.col("key").alias("a"), F.col("shingles").alias("left"))
-    right = sets.select(F.col("key").alias("b"), F.col("shingles").alias("right"))
-    shared = F.size(F.array_intersect("left", "right"))
-    return settle(
-        asked.join(left, "a").join(right, "b")
-        .where(shared >= similarity * (F.size("left") + F.size("right") - shared) - SLACK).select("a", "b"),
-        "alike",
-    )
-
-
-def _may_be_alike(m: Column, i: Column, n: Column, j: Column, similarity: float) -> Column:
-    """Whether sets of sizes `m` and `n` that share a shingle at places `i` and `j` may have the similarity.
-
-    They share at least ``k = s / (1 + s) * (m + n)`` shingles, so one that both hold is among the first
-    ``m - k + 1`` and ``n - k + 1``; what lies before and behind it bounds the rest.
-    """
-    least = similarity / (1 + similarity) * (m + n) - SLACK
-    return (
-        (F.least(m, n) >= similarity * F.greatest(m, n) - SLACK)
-        & (m - i >= least) & (n - j >= least) & (F.least(i, j) + F.least(m - i, n - j) >= least)
+    rows, members = _grouped(docs, words, distance, cover)
+    return rows.join(members, "fp", "left").select(
+        "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), F.col("first.doc_id").alias("component_id")
     )
 
 
-def _first_asked(held: DataFrame, similarity: float) -> DataFrame:
-    """Rows (a, b): each class and that first class of its shingles which it shares most with, one row a class at most."""
-    heads = held.groupBy("shingle").agg(F.min(F.struct(F.xxhash64("key").alias("place"), "key", "size", "pos")).alias("head"))
-    may = _may_be_alike(F.col("size"), F.col("pos"), F.col("head.size"), F.col("head.pos"), similarity)
-    return (
-        held.join(heads, "shingle").where(may).withColumn("b", F.col("head.key")).where("key <> b")
-        .groupBy(F.col("key").alias("a"), "b").count()
-        .groupBy("a").agg(F.max_by("b", F.struct("count", "b")).alias("b"))
-    )
-
+def keepers(docs: DataFrame, words: int = 4, distance: int = 4, cover: Cover | None = None) -> DataFrame:
+    """The rows of `docs` that stay, with their columns: of each component of `near_duplicates` the smallest doc_id.
 
-def _then_asked(held: DataFrame, near: DataFrame, similarity: float) -> DataFrame:
-    """Rows (a, b), a < b: all pairs of classes that may have the similarity and that `near` does not connect."""
-    placed = held.join(near.select(F.col("node").alias("key"), "root"), "key", "left").select(
-        "shingle", "key", "size", "pos", F.coalesce("root", "key").alias("root")
-    )
-    # a shingle's largest set is not compared with itself, so neither is a large group of near copies
-    main = (
-        placed.groupBy("shingle", "root").count()
-        .groupBy("shingle").agg(F.max_by("root", F.struct("count", "root")).alias("main"), F.count("*").alias("roots"))
-        .where("roots > 1").select("shingle", "main")
-    )
-    mixed = settle(placed.join(main, "shingle"), "mixed")
-    x = mixed.where("root <> main").select("shingle", *(F.col(c).alias(f"{c}_a") for c in ("key", "size", "pos", "root")))
-    y = mixed.select("shingle", *(F.col(c).alias(f"{c}_b") for c in ("key", "size", "pos", "root")))
-    m, n, i, j = (F.col(c) for c in ("size_a", "size_b", "pos_a", "pos_b"))
-    may = (F.col("root_a") != F.col("root_b")) & _may_be_alike(m, i, n, j, similarity)
-    return x.join(y, (x["shingle"] == y["shingle"]) & may).select(
-        F.least("key_a", "key_b").alias("a"), F.greatest("key_a", "key_b").alias("b")
-    ).distinct()
-
-
-def similar_groups(docs: DataFrame, words: int = 5, similarity: float = 0.8) -> DataFrame:
-    """Rows (doc_id, text_hash, keep_id, keep_hash), one per row of `docs`: the row that stays of its group.
-
-    Groups are the sets connected by pairs of texts whose distinct shingles have a Jaccard
-    similarity of `similarity` or more.  All such pairs share a rare shingle (see `prefixes`) and
-    every link is verified; pairs that verified links connect already are not compared.  The row with
-    the smallest doc_id stays (a null one only alone), of rows that repeat it the one with the
-    smallest text hash.  Null texts are empty; all texts without words are one group.
+    Of several texts with that doc_id the one with the smallest hash stays, and each row that repeats it; a
+    component without doc_ids keeps the text with the smallest hash.
     """
-    rows = settle(prefixes(docs, words, similarity), "prefixes")
-    first = F.min(F.struct(F.coalesce("doc_id", F.lit((1 << 63) - 1)).alias("place"), "doc_id", "text_hash"))
-    classes = settle(
-        rows.groupBy("key").agg(first.alias("first"), F.any_value("size").alias("size"), F.any_value("prefix").alias("prefix")),
-        "classes",
-    )
-    entries = classes.select("key", "size", F.posexplode("prefix").alias("pos", "shingle")).repartition("shingle")
-    held = settle(entries.join(entries.groupBy("shingle").count().where("count > 1").select("shingle"), "shingle"), "held")
-    alike = _alike(docs, classes, settle(_first_asked(held, similarity), "asked"), words, similarity)
-    near = settle(components(alike), "near")
-    more = _alike(docs, classes, settle(_then_asked(held, near, similarity), "asked"), words, similarity)
-    roots = components(alike.unionByName(more))
-    linked = classes.join(roots, F.col("key") == F.col("node"), "left").select(
-        "key", "first", F.coalesce("root", "key").alias("root")
-    )
-    stays = linked.groupBy("root").agg(F.min("first").alias("stays"))
-    members = settle(linked.join(stays, "root").select("key", "stays.doc_id", "stays.text_hash"), "members")
-    members = members.select("key", F.col("doc_id").alias("keep_id"), F.col("text_hash").alias("keep_hash"))
-    return rows.select("doc_id", "text_hash", "key").join(members, "key").select("doc_id", "text_hash", "keep_id", "keep_hash")
-
-
-def keepers(docs: DataFrame, **options) -> DataFrame:
-    """The rows of `docs` that stay of their groups, with their columns."""
-    groups = similar_groups(docs, **options)
-    stay = groups.select(F.col("keep_id").alias("stay_id"), F.col("keep_hash").alias("stay_hash")).distinct()
+    _, members = _grouped(docs, words, distance, cover)
+    stay = members.select(F.col("first.doc_id").alias("stay_id"), F.col("first.text_hash").alias("stay_hash")).distinct()
     match = docs["doc_id"].cast("long").eqNullSafe(stay["stay_id"]) & (F.xxhash64(whole_text()) == stay["stay_hash"])
     return docs.join(stay, match, "left_semi")

@@ -23,8 +23,8 @@ def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of similar texts (five-word shingles, 0.8) the one with the smallest doc_id stays."""
-    return simhash.keepers(docs)
+    """Of texts whose fingerprints links of at most 4 bits connect the one with the smallest doc_id stays."""
+    return simhash.keepers(docs, words=4, distance=4)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -5,6 +5,8 @@ from __future__ import annotations
 import random
 import re
 from collections import defaultdict
+from fractions import Fraction
+from math import ceil, floor
 
 import numpy as np
 import pytest
@@ -148,28 +150,67 @@ def test_top_k_of_nothing(spark):
     assert top_k.top_k(spark.createDataFrame([], "vec_id long, embedding array<float>")).count() == 0
 
 
-def test_schedule_keeps_every_source_within_a_block():
+def slow_schedule(blocks: list[int], weights: list[float]) -> list[tuple]:
+    """Slot by slot, all released blocks looked at."""
+    done, out, base = [0] * len(blocks), [], 0
+    while any(n > d for n, d in zip(blocks, done, strict=True)):
+        live = [s for s, n in enumerate(blocks) if n > done[s]]
+        whole, start = sum(Fraction(weights[s]) for s in live), list(done)
+        share = {s: Fraction(weights[s]) / whole for s in live}
+        slot = 0
+        while all(blocks[s] > done[s] for s in live):
+            found = []
+            for s in live:
+                j = done[s] - start[s]
+                release, due = floor(j / share[s]), ceil((j + 1) / share[s])
+                if release <= slot:
+                    found.append((due, s, release))
+            due, s, release = min(found)
+            out.append((s, done[s], base + release, base + due, base + slot))
+            done[s] += 1
+            slot += 1
+        base += slot
+    return out
+
+
+def test_schedule_equals_brute_force():
     rng = random.Random(6)
     for trial in range(60):
-        blocks = {f"s{i}": rng.randint(0, 300) for i in range(rng.randint(1, 7))} | ({None: 2000} if trial % 3 else {})
-        weights = mixing.whole_weights({s: rng.random() + 0.01 for s in blocks}, rng.choice([20, 100, 1000]))
-        slots = {}
-        for s, segments in mixing.schedule(blocks, weights).items():
-            for g in segments:
-                for b in range(g.first, g.last + 1):
-                    k = b - g.first
-                    slot = g.base + k // len(g.slots) * g.period + g.slots[k % len(g.slots)]
-                    release, due = mixing.windows(g.weight, g.period, b - g.start + 1)
-                    assert g.opens + release <= slot < g.opens + due
-                    assert slots.setdefault(slot, s) == s
-        assert sorted(slots) == list(range(sum(blocks.values())))
+        blocks = [rng.randint(0, 60) for _ in range(rng.randint(1, 9))] + ([300] if trial % 3 else [])
+        weights = [rng.random() + 0.001 if trial % 2 else float(rng.choice((1, 1, 2, 5))) for _ in blocks]
+        got = list(mixing.schedule(blocks, mixing.exact(weights)))
+        assert got == slow_schedule(blocks, weights)
+        assert [r[4] for r in got] == list(range(sum(blocks)))
+
+
+@pytest.mark.parametrize(("sources", "hot", "slots"), [(20, 0.3404, 150_000), (1000, 0.5, 60_000), (256, 0.1396, 60_000)])
+def test_every_source_stays_within_a_block_of_the_weights_asked_for(sources, hot, slots):
+    weights = [hot] + [(1 - hot) / (sources - 1)] * (sources - 1)
+    whole = sum(map(Fraction, weights))
+    done, shares = [0] * sources, [Fraction(w) / whole for w in weights]
+    plan = mixing.schedule([slots] * sources, mixing.exact(weights))
+    for s, block, release, due, slot in plan:
+        assert release <= slot < due and block == done[s]
+        done[s] += 1
+        # only the source that was served can be ahead by more than before, the others fall behind until they are due
+        assert abs(done[s] - shares[s] * (slot + 1)) < 1
+        if slot % 997 == 0:
+            assert all(abs(n - w * (slot + 1)) < 1 for n, w in zip(done, shares, strict=True))
+        if slot + 1 == slots:
+            break
+
+
+def test_weights_must_be_above_zero():
+    for wrong in (0.0, -1.0, float("nan"), float("inf")):
+        with pytest.raises((ValueError, OverflowError)):
+            mixing.exact([1.0, wrong])
 
 
 @pytest.mark.parametrize("weights", [None, {"hot": 0.2, "a": 0.5}])
 def test_mix(spark, weights):
     docs = documents(spark)
     size = 500
-    got = mixing.mix(docs, weights=weights, block_chars=size, period=100).collect()
+    got = mixing.mix(docs, weights=weights, block_chars=size).collect()
     assert sorted((r["doc_id"] or 0, plain(r["text"])) for r in got) == sorted((i or 0, plain(t)) for i, t, *_ in rows())
     at = defaultdict(list)
     for r in got:
@@ -180,6 +221,8 @@ def test_mix(spark, weights):
         assert all(a + n == b for (a, n, *_), (b, *_) in zip(own, own[1:], strict=False))
         assert [x[3] for x in own] == sorted(x[3] for x in own)
     assert len({(r["source"], r["block"]) for r in got}) == len({r["slot"] for r in got})
+    few = mixing.mix(docs, weights=weights, block_chars=size, blocks=40)
+    assert few.count() == len(got) and few.agg(F.max("block")).first()[0] < 40 < max(r["block"] for r in got)
     assert mixing.mix(nothing(spark)).count() == 0
     assert mixing.interleaved(docs).dtypes == docs.dtypes
 

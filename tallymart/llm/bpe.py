@@ -74,10 +74,13 @@ class WordSplitter:
             text = text.replace("Σ", "σ")
         return text.lower()
 
+    def has_new_letters(self, text: str) -> bool:
+        """Whether it holds letters that Unicode got lately, and not in the same year in every library."""
+        return not text.isascii() and max(text) >= self.new_from and bool(self.new(text))
+
     def words(self, text: str) -> list[str]:
         """The words of a text without special tokens."""
-        if not text.isascii() and max(text) >= self.new_from and self.new(text):
-            # letters that Unicode got lately, and not in the same year in every library
+        if self.has_new_letters(text):
             pieces = self.library.pre_tokenizer.pre_tokenize_str(self.library.normalizer.normalize_str(text))
             return [bytes(self.byte[c] for c in piece).decode() for piece, _ in pieces]
         return self.find(self.normal(text))

@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import hashlib
 import json
+import re
 import uuid
 import zlib
 from array import array
@@ -33,6 +34,8 @@ LEVEL = 3
 PACK_DOCS = 256
 PACK_BYTES = 1 << 20  # of ids; a longer document fills a pack alone
 END_ID = 1
+#: Characters that part strings here, but words not.
+UNLIKE = re.compile("[\x1c-\x1f]").search
 PACK = (
     "shard int, first_token long, tokens long, dictionary string, doc_ids array<long>, counts array<long>,"
     " offsets array<long>, payload binary"
@@ -40,7 +43,11 @@ PACK = (
 
 
 class IdWriter:
-    """Ids of whole texts as bytes; each new word is encoded by the tokenizers library and remembered."""
+    """Ids of whole texts as bytes.
+
+    Words never reach across white space, so the stretches between it are remembered, and the words that new
+    stretches are made of; a new word is encoded by the tokenizers library.
+    """
 
     def __init__(self, path: str):
         with open(path, encoding="utf-8") as file:
@@ -51,18 +58,23 @@ class IdWriter:
             piece = "".join([letters[b] for b in word.encode()])
             return array("I", [t.id for t in model.tokenize(piece)]).tobytes()
 
-        self.known = Memo(make)
+        words = Memo(make)
+        self.words = lambda text: b"".join(map(words.__getitem__, self.split.words(text)))
+        find = self.split.find
+        self.stretches = Memo(lambda part: b"".join(map(words.__getitem__, find(part))))
 
-    def parts(self, text: str) -> Iterator[bytes]:
+    def encode(self, text: str) -> bytes:
+        """The ids of a text and the end id."""
+        out = []
         for i, part in enumerate(self.split.parts(text)):
             if i % 2:
-                yield self.split.special[part].to_bytes(4, "little")
+                out.append(self.split.special[part].to_bytes(4, "little"))
+            elif UNLIKE(part) or self.split.has_new_letters(part):
+                out.append(self.words(part))
             else:
-                yield from map(self.known.__getitem__, self.split.words(part))
-
-    def encode(self, text: str) -> bytes:
-        """The ids of a text and the end id."""
-        return b"".join(self.parts(text)) + END_ID.to_bytes(4, "little")
+                out += map(self.stretches.__getitem__, self.split.normal(part).split())
+        out.append(END_ID.to_bytes(4, "little"))
+        return b"".join(out)
 
 
 @lru_cache(maxsize=2)

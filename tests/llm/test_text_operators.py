@@ -6,6 +6,7 @@ import hashlib
 import math
 import re
 import struct
+import time
 import zlib
 from collections import Counter
 
@@ -50,6 +51,19 @@ def test_secret_report_and_added_rules(spark):
     assert secret_scan.report(nothing(spark)).count() == 0
 
 
+def test_a_crafted_text_is_scanned_in_seconds(spark):
+    """Runs that every place of could begin a match, 1 MB and more."""
+    token = "eyJhbGci.eyJzdWIi.c2lnbmF0dXJlLXBhcnQtaXM"
+    texts = [".eyJ" + "eyJ" * 350_000, "eyJ-" * 250_000 + f" {token} x{token}", "password" + " " * 1_000_000, "AKIA" * 250_000]
+    start = time.monotonic()
+    got = secret_scan.report(spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")).collect()
+    assert time.monotonic() - start < 60
+    spans = {r["doc_id"]: r["spans"] for r in got}
+    at, size = 1_000_001, len(token)
+    assert spans[1] == f"jwt:{at}:{at + size},jwt:{at + size + 2}:{at + 2 * size + 2}"
+    assert (spans[0], spans[2], spans[3]) == ("", "", "access:0:1000000")
+
+
 def test_trigram_queries_let_no_match_through_unseen():
     for rule in secret_scan.RULES:
         query = secret_scan.trigram_query(rule.pattern)
@@ -119,13 +133,14 @@ def test_bpe_equals_the_library(spark):
 
 
 def test_bpe_of_odd_words():
-    t, codec = library(), bpe.codec(tokenizer_path())
+    t, codec, writer = library(), bpe.codec(tokenizer_path()), token_store.id_writer(tokenizer_path())
     texts = ["x" * 5000, "Σς ΑΣ", "İstanbul", "é T̈", "don't 's ''re", "漢字かな", "\x1c\x85​", "<|startoftext|>a<|end"]
-    texts += ["a" + chr(c) + "b" for c in range(0x80, 0x3000, 7)] + ["Ᲊx \U00010d50"]
+    texts += [f"a{chr(c)}b {chr(c)} x" for c in [*range(0x00, 0x100), *range(0x100, 0x3000, 7), 0x2028, 0x3000, 0xFEFF]] + ["Ᲊx \U00010d50"]
     for text in texts:
         ids = t.encode(text, add_special_tokens=False).ids
         assert codec.encode(text) == " ".join(map(str, ids))
         assert codec.decode(codec.encode(text)) == t.decode(ids, skip_special_tokens=False)
+        assert writer.encode(text) == struct.pack(f"<{len(ids) + 1}I", *ids, token_store.END_ID)
 
 
 def test_bpe_arrays_decode_again(spark):

@@ -206,10 +206,10 @@ def dq_date_coverage(star: Star, p: ReportParams) -> DataFrame:
 
 
 def _runs(days: DataFrame) -> DataFrame:
-    """Days (source, day), distinct, as runs of days that follow each other: first_day, last_day, days."""
+    """Days (source, day), distinct, as runs of days that follow each other: first_day, last_day."""
     place = F.row_number().over(Window.partitionBy("source").orderBy("day"))
     runs = days.withColumn("place", place).groupBy("source", F.date_sub("day", F.col("place")).alias("run"))
-    return runs.agg(F.min("day").alias("first_day"), F.max("day").alias("last_day"), F.count(F.lit(1)).alias("days")).drop("run")
+    return runs.agg(F.min("day").alias("first_day"), F.max("day").alias("last_day")).drop("run")
 
 
 def dq_date_gaps(star: Star, p: ReportParams) -> DataFrame:
@@ -224,16 +224,18 @@ def dq_date_gaps(star: Star, p: ReportParams) -> DataFrame:
         used.append(_column(star, table, *columns).select(F.inline(days)).distinct())
     calendar = star["dim_date"].select(F.col("full_date").alias("day")).distinct()
     missing = _union(used).filter(F.col("day").isNotNull()).join(calendar, "day", "left_anti")
-    before = F.lag("day").over(Window.partitionBy("source").orderBy("day"))
-    holes = (
-        calendar.filter(F.col("day").isNotNull()).select(F.lit("dim_date").alias("source"), "day").withColumn("before", before)
-        .filter(F.datediff("day", "before") > 1)
-        .select(
-            "source", F.date_add("before", 1).alias("first_day"), F.date_sub("day", 1).alias("last_day"),
-            (F.datediff("day", "before") - 1).cast("bigint").alias("days"),
-        )
+    known = calendar.filter(F.col("day").isNotNull()).select(F.lit("dim_date").alias("source"), "day")
+    runs = _runs(missing.select("source", "day").unionByName(known))
+    # a run of days that are missing is a gap; so is what lies between two runs of the calendar
+    following = F.lead("first_day").over(Window.partitionBy("source").orderBy("first_day"))
+    between = F.col("source") == "dim_date"
+    gaps = runs.withColumn("following", following).select(
+        "source",
+        F.when(between, F.date_add("last_day", 1)).otherwise(F.col("first_day")).alias("first_day"),
+        F.when(between, F.date_sub("following", 1)).otherwise(F.col("last_day")).alias("last_day"),
     )
-    return _runs(missing.select("source", "day")).unionByName(holes)
+    days = (F.datediff("last_day", "first_day") + 1).cast("bigint")
+    return gaps.filter(F.col("last_day").isNotNull()).withColumn("days", days)
 
 
 def dq_orphan_facts(star: Star, p: ReportParams) -> DataFrame:

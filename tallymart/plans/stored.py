@@ -205,10 +205,14 @@ class StoredViews:
         ).agg(units("order_months").alias("orders"), total("net").alias("net"))
         return views.trend_figures(star, sales)
 
-    def all(self) -> dict[str, Callable[[Star, ReportParams], DataFrame]]:
+    def all(self) -> dict[str, views.View]:
         """The views by name."""
         return {n: getattr(self, n) for n in VIEW_NAMES}
 
+    def catalogue(self) -> dict[str, views.View]:
+        """Every view: from the sums where they cover its keys and figures, else from the facts."""
+        return views.VIEWS | self.all()
+
 
 VIEW_NAMES = (
     "vw_sales_executive_summary",

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tallymart import ReportParams, load_star, schema
 from tallymart.operators import bitmaps
-from tallymart.plans import aggregates, joins, stored, views
+from tallymart.plans import aggregates, joins, quality, stored, views
 from tallymart.sinks import writer
 from tallymart.sinks.releases import MONTH, ReleaseConflict, ReleaseStore
 from tallymart.sources import generate
@@ -253,6 +253,25 @@ def test_stored_views_read_no_lines(spark, whole, summed):
         assert not any("/fact_order_line_items/" in f or "/fact_returns/" in f for f in view(whole, P).inputFiles()), name
 
 
+def _line_scans(df) -> int:
+    """Scans of lines' amounts in the executed plan; a subquery that is used again is planned once."""
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return len({n for n in re.findall(r"FileScan parquet \[[^\]]*net_amount#(\d+)", plan)})
+
+
+def test_jobs_over_views_read_lines_once(spark, whole, summed):
+    """The check of the sums reads lines for its base only; other views than the stored ones read facts."""
+    answers = stored.StoredViews(stored.stored_sums(spark, summed)).catalogue()
+    got = quality.dq_cancelled_exclusion(whole, P, answers=answers)
+    assert _line_scans(got) == 1 < 4 <= _line_scans(quality.dq_cancelled_exclusion(whole, P))
+    assert _rows(got) == _rows(quality.dq_cancelled_exclusion(whole, P)) and {r["diff"] for r in got.collect()} == {0}
+    counts = views.view_smoke_counts(whole, P, answers=answers)
+    assert _line_scans(counts) < _line_scans(views.view_smoke_counts(whole, P))
+    assert _rows(counts) == _rows(views.view_smoke_counts(whole, P))
+    assert answers["vw_returns_analysis"] is views.vw_returns_analysis
+
+
 def test_sets_of_ids_merge(spark):
     rows = [(m, k, i) for m in range(3) for k in "ab" for i in (1, 2, 32_768, 32_769, 10**10, 40_000 + m, None, m if k == "a" else 7)]
     df = spark.createDataFrame(rows, "m int, k string, i long")

@@ -76,7 +76,13 @@ class WordSplitter:
 
     def has_new_letters(self, text: str) -> bool:
         """Whether it holds letters that Unicode got lately, and not in the same year in every library."""
-        return not text.isascii() and max(text) >= self.new_from and bool(self.new(text))
+        if text.isascii():
+            return False
+        try:
+            text.encode("latin-1")  # the quickest way to see that all letters are old ones
+        except UnicodeEncodeError:
+            return max(text) >= self.new_from and bool(self.new(text))
+        return False
 
     def words(self, text: str) -> list[str]:
         """The words of a text without special tokens."""

@@ -11,7 +11,6 @@ from __future__ import annotations
 
 import hashlib
 import json
-import re
 import uuid
 import zlib
 from array import array
@@ -34,8 +33,7 @@ LEVEL = 3
 PACK_DOCS = 256
 PACK_BYTES = 1 << 20  # of ids; a longer document fills a pack alone
 END_ID = 1
-#: Characters that part strings here, but words not.
-UNLIKE = re.compile("[\x1c-\x1f]").search
+UNLIKE = "\x1c\x1d\x1e\x1f"  # characters that part strings here, but words not
 PACK = (
     "shard int, first_token long, tokens long, dictionary string, doc_ids array<long>, counts array<long>,"
     " offsets array<long>, payload binary"
@@ -69,7 +67,7 @@ class IdWriter:
         for i, part in enumerate(self.split.parts(text)):
             if i % 2:
                 out.append(self.split.special[part].to_bytes(4, "little"))
-            elif UNLIKE(part) or self.split.has_new_letters(part):
+            elif any(c in part for c in UNLIKE) or self.split.has_new_letters(part):
                 out.append(self.words(part))
             else:
                 out += map(self.stretches.__getitem__, self.split.normal(part).split())

@@ -268,6 +268,80 @@ def test_quality_probabilities_add_up(spark):
         assert total == pytest.approx(1.0, abs=1e-9)
 
 
+def slow_model(texts: list[str], order: int):
+    """Interpolated modified Kneser-Ney by definition: the probability of a symbol after a context."""
+    seen = defaultdict(int)
+    for text in texts:
+        for padded in slow_padded(text):
+            for end in range(2, len(padded) + 1):
+                for size in range(1, min(order, end) + 1):
+                    seen[padded[end - size : end]] += 1
+    before = defaultdict(set)
+    for gram in seen:
+        before[gram[1:]].add(gram[0])
+    a = {g: n if len(g) == order or g[0] == quality.START else len(before[g]) for g, n in seen.items()}
+    after, discounts = defaultdict(list), {}
+    for gram in a:
+        after[gram[:-1]].append(gram)
+    for size in range(1, order + 1):
+        t = [sum(1 for g, n in a.items() if len(g) == size and n == i) for i in range(1, 5)]
+        y = t[0] / (t[0] + 2 * t[1]) if t[0] and t[1] else None
+        raw = [(i + 1) - (i + 2) * y * t[i + 1] / t[i] if t[i] else 0.0 for i in range(3)] if y else [0.5, 1.0, 1.5]
+        discounts[size] = [min(max(d, 0.05), i + 0.95) for i, d in enumerate(raw)] if y else raw
+    symbols = sum(1 for g in a if len(g) == 1)
+
+    def probability(context: str, symbol: str) -> float:
+        below = probability(context[1:], symbol) if context else 1.0 / (symbols + 1)
+        if not after[context]:
+            return below
+        d = discounts[len(context) + 1]
+        whole = sum(a[g] for g in after[context])
+        rest = sum(d[min(a[g], 3) - 1] for g in after[context]) / whole
+        n = a.get(context + symbol, 0)
+        return (n - d[min(n, 3) - 1] if n else 0.0) / whole + rest * below
+
+    return probability
+
+
+def slow_padded(text: str) -> list[str]:
+    words = re.findall(r"[^\x20\x09-\x0D]+", text)
+    ends = [quality.AGAIN if w == n else quality.END for w, n in zip(words, [*words[1:], ""], strict=False)]
+    return [quality.START + w + e for w, e in zip(words, ends, strict=True)]
+
+
+def test_quality_by_brute_force(spark):
+    rng = random.Random(21)
+    unbroken = "".join(rng.choices("语言模型没有空格é🎉", k=3 * quality.PIECE + 7))
+    exact = "".join(rng.choices("abc", k=2 * quality.PIECE - 1))  # with its end a whole number of pieces
+    clean = [*sentences(25, 9), unbroken, exact, "again again again", "not labelled", "x" * 200]
+    other = [unbroken[5:90], "Zebra house%% again again", "x", "", None, f"{exact} {exact}"]
+    docs, labels = labelled(spark, [(t, 1, 0) for t in clean] + [(t, 0, 0) for t in other])
+    probability = slow_model([t for i, t in enumerate(clean) if i % 4], quality.ORDER)  # the others have no label
+    got = {r["doc_id"]: r["perplexity"] for r in quality.classify(docs, labels).collect()}
+    for i, text in enumerate(clean + other):
+        logs = [
+            np.log10(probability(padded[max(0, end - quality.ORDER) : end - 1], padded[end - 1]))
+            for padded in slow_padded(text or "") for end in range(2, len(padded) + 1)
+        ]
+        want = 10 ** (-sum(logs) / len(logs)) if logs else None
+        assert got[i] == (want if want is None else pytest.approx(want, rel=1e-9))
+
+
+def test_quality_learns_a_very_long_text_without_spaces(spark):
+    text = "".join(random.Random(2).choices("αβγδε", k=400_000))
+    docs, labels = labelled(spark, [("", 0, 0), (text, 1, 0), (text[:50_000], 0, 0)])
+    got = {r["doc_id"]: r["perplexity"] for r in quality.classify(docs, labels).collect()}
+    assert got[0] is None and 4.5 < got[1] < 5.5 and 4.5 < got[2] < 5.5
+
+
+def test_quality_has_a_threshold_for_every_language(spark):
+    texts = sentences(60, 3)
+    docs = spark.createDataFrame([(i, t, f"lang{i % 1500}") for i, t in enumerate(texts * 50)], "doc_id long, text string, lang string")
+    labels = docs.selectExpr("doc_id", "1 AS quality")
+    got = quality.classify(docs, labels).where("threshold is not null").groupBy("lang").agg(F.max("perplexity").alias("p"), F.max("threshold").alias("t"))
+    assert got.count() == 1500 and got.where("p > t").count() == 0
+
+
 def test_toxicity_finds_held_out_rows(spark):
     clean = [(t, 1, 0) for t in sentences(400, 5)]
     rng = random.Random(7)

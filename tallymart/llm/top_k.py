@@ -33,7 +33,15 @@ def _kind(queries: np.ndarray, rows: np.ndarray) -> np.dtype:
         return np.dtype(np.float64)
     if largest < 2**63:
         return np.dtype(np.int64)
-    raise OverflowError("scores do not fit a 64-bit integer")
+    return np.dtype(object)  # Python's integers have no bound
+
+
+def _long(scores: np.ndarray) -> np.ndarray:
+    """Scores as 64-bit integers; one beyond them as the nearest."""
+    if scores.dtype != object:
+        return scores.astype(np.int64)
+    ends = np.iinfo(np.int64)
+    return np.array([min(max(int(s), ends.min), ends.max) for s in scores], np.int64)
 
 
 class SortedLists:
@@ -104,7 +112,7 @@ def block_top_k(queries: np.ndarray, own: np.ndarray, rows: np.ndarray, ids: np.
             mine = ids[alive] != names[q]
             alive, value = alive[mine], value[mine]
             best = np.lexsort((ids[alive], -value))[:k]
-            out.append(np.stack([order[alive[best]], value[best].astype(np.int64)]))
+            out.append(np.stack([order[alive[best]], _long(value[best])]))
     return out
 
 
@@ -125,6 +133,8 @@ def top_k(vectors: DataFrame, k: int = 20, every: int = 20, scale: int = 64, blo
     Ties go to the smaller vec_id.  Vectors of another length than the query's take no part for it.
     A row that repeats is a candidate each time; queries that share an id and differ are ranked each.
     Rows with the query's id count as its own.  An empty table has no rows.
+    A component or a score that a 64-bit integer cannot hold becomes the nearest that it can; a block compares
+    such scores exactly, the merge of blocks sees them as ties.
     """
     rows = integers(vectors, scale).withColumn("dim", F.size("ints"))
     asked = rows.where(F.col("vec_id") % every == 0).dropDuplicates(["vec_id", "ints"])

@@ -146,6 +146,21 @@ def test_top_k(spark, n, dim, scale, block):
     assert sorted(map(tuple, top_k.top_k(df, block=block).collect())) == sorted(want)
 
 
+def test_top_k_of_huge_components(spark):
+    rng, ends = random.Random(11), (-(1 << 63), (1 << 63) - 1)
+    rows = [(i, [rng.choice([-1.0, 1.0]) * rng.random() * 10.0 ** rng.randint(0, 18) for _ in range(6)]) for i in range(300)]
+    ints = [(i, [min(max(floor(64 * x), ends[0]), ends[1]) for x in v]) for i, v in rows]
+    want = []
+    for q, v in ints[::20]:
+        scored = sorted((-sum(a * b for a, b in zip(v, w, strict=True)), i) for i, w in ints if i != q)[:20]
+        places = {i: r for r, (_, i) in enumerate(scored, 1)}
+        want.append((q, set(places), [min(max(-s, ends[0]), ends[1]) for s, _ in scored]))
+    got = defaultdict(list)
+    for r in sorted(top_k.top_k(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()):
+        got[r["query_id"]].append((r["vec_id"], r["score"]))
+    assert [(q, {i for i, _ in found}, [s for _, s in found]) for q, found in sorted(got.items())] == want
+
+
 def test_top_k_of_nothing(spark):
     assert top_k.top_k(spark.createDataFrame([], "vec_id long, embedding array<float>")).count() == 0
 

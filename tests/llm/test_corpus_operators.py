@@ -6,9 +6,11 @@ import random
 import re
 from collections import defaultdict
 from fractions import Fraction
+from itertools import product
 from math import ceil, floor
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -357,6 +359,65 @@ def test_quality_has_a_threshold_for_every_language(spark):
     assert got.count() == 1500 and got.where("p > t").count() == 0
 
 
+def test_quality_learns_from_every_trusted_row(spark, monkeypatch):
+    words = ["".join(p) for p in product("aeiou", "bdglmnrst", "aeo", "kprst")]
+    texts = [f"{words[i % 675]} {words[i * 7 % 675]}" for i in range(22_000)] + [f"{c}y{c}" for c in "cfhjqvwxz" for _ in range(60)]
+    docs = spark.createDataFrame([(i, t, "en") for i, t in enumerate(texts)], "doc_id long, text string, lang string")
+    labels = docs.selectExpr("doc_id", "1 AS quality")
+    probability = slow_model(texts, quality.ORDER)
+    want = {}
+    for text in (*texts[:40], *texts[-540::60]):
+        logs = [
+            np.log10(probability(padded[max(0, end - quality.ORDER) : end - 1], padded[end - 1]))
+            for padded in slow_padded(text) for end in range(2, len(padded) + 1)
+        ]
+        want[text] = pytest.approx(10 ** (-sum(logs) / len(logs)), rel=1e-9)
+
+    def got():
+        return {texts[r["doc_id"]]: r["perplexity"] for r in quality.classify(docs, labels).collect()}
+
+    once = got()
+    assert {t: once[t] for t in want} == want
+    # several broadcasts of trusted rows and of n-grams
+    monkeypatch.setattr(quality, "IDS", 9_000)
+    monkeypatch.setattr(quality, "SHARD", 1_500)
+    assert got() == {t: pytest.approx(p, rel=1e-12) for t, p in once.items()}
+
+
+def test_quality_of_repeated_rows_and_of_marks_in_texts(spark, monkeypatch):
+    texts = ["a\x00b \x02c\x03 \x05", "a\x00", "ab", "\x02ab", *["same row"] * 3]
+    docs = spark.createDataFrame([(min(i, 4), t, None) for i, t in enumerate(texts)], "doc_id long, text string, lang string")
+    labels = docs.selectExpr("doc_id", "1 AS quality")
+    renamed = {t: t.translate({0: 0xFDD0, 2: 0xFDD2, 3: 0xFDD3, 5: 0xFDD5}) for t in texts}
+    probability = slow_model([renamed[t] for t in texts], quality.ORDER)
+    monkeypatch.setattr(quality, "SHARD", 20)
+    got = quality.classify(docs, labels).collect()
+    assert sorted(r["doc_id"] for r in got) == [0, 1, 2, 3, 4, 4, 4]
+    for r in got:
+        logs = [
+            np.log10(probability(padded[max(0, end - quality.ORDER) : end - 1], padded[end - 1]))
+            for padded in slow_padded(renamed[texts[r["doc_id"]]]) for end in range(2, len(padded) + 1)
+        ]
+        assert r["perplexity"] == pytest.approx(10 ** (-sum(logs) / len(logs)), rel=1e-9)
+
+
+def test_quality_windows_do_not_depend_on_blocks(monkeypatch):
+    letters = [chr(0x4E00 + i) for i in range(9_000)]  # more than five of which fill 64 bits
+    texts = pa.array(["one two  two\tthree", "", " ", "".join(letters), " ".join(letters[:300]), "one 🎉"])
+    words = quality.Words.of(texts)
+
+    def flat():
+        return [tuple(grams[i]) for _, which, grams in words.windows(quality.ORDER) for i in which]
+
+    whole = flat()
+    assert sorted("".join(map(chr, filter(None, g))) for g in whole) == sorted(
+        padded[max(0, end - quality.ORDER) : end]
+        for padded in {p for t in texts.to_pylist() for p in slow_padded(t)} for end in range(2, len(padded) + 1)
+    )
+    monkeypatch.setattr(quality, "BLOCK", 1)
+    assert flat() == whole
+
+
 def test_toxicity_finds_held_out_rows(spark):
     clean = [(t, 1, 0) for t in sentences(400, 5)]
     rng = random.Random(7)

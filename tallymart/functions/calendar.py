@@ -72,6 +72,7 @@ def closed_end(valid_to: str = "valid_to") -> Column:
     return F.coalesce(F.col(valid_to), F.lit(FOREVER))
 
 
-def covers(d: Column, valid_from: str = "valid_from", valid_to: str = "valid_to") -> Column:
+def covers(d: Column, valid_from: Column | str = "valid_from", valid_to: Column | str = "valid_to") -> Column:
     """The validity window holds day ``d``; an open end is NULL."""
-    return (F.col(valid_from) <= d) & (F.col(valid_to).isNull() | (F.col(valid_to) >= d))
+    first, last = (F.col(c) if isinstance(c, str) else c for c in (valid_from, valid_to))
+    return (first <= d) & (last.isNull() | (last >= d))

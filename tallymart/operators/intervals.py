@@ -5,6 +5,8 @@ bin of every width; a window is the union of a few bins that do not overlap, wid
 and narrow ones at its edges.  So a day and a window that covers it share exactly one (key, bin), and a
 day and a window that does not cover it share none: the join gives the covering pairs and nothing else,
 and a key with very many rows is spread over its bins.
+
+A key with few windows needs no bins: its windows are one row, which a day meets once.
 """
 
 from __future__ import annotations
@@ -12,10 +14,10 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallymart.functions.calendar import closed_end
+from tallymart.functions.calendar import closed_end, covers
 
 #: Days of a bin, narrow to wide; a window that never ends has some 90 bins of the widest.
 WIDTHS = (1, 32, 1024, 32768)
@@ -70,14 +72,43 @@ def binned_windows(windows: DataFrame) -> DataFrame:
     return windows.filter(F.col("valid_from").isNotNull()).select("*", F.inline(bins_of_window("valid_from", closed_end())))
 
 
+#: Most windows that a key may have to be met as one row.
+FEW = 16
+
+
+def _by_key(windows: DataFrame, key: str, *kept: Column | str) -> DataFrame:
+    """Rows (key, _own): the windows of a key as an array, cut at one more than ``FEW``, which marks a key of many."""
+    held = windows.filter(F.col("valid_from") <= closed_end())
+    place = F.row_number().over(Window.partitionBy(key).orderBy("valid_from"))
+    some = held.withColumn("_place", place).filter(F.col("_place") <= FEW + 1)
+    return some.groupBy(key).agg(F.collect_list(F.struct(*kept)).alias("_own"))
+
+
+def _of_many(rows: DataFrame, by_key: DataFrame, key: str) -> DataFrame:
+    """Rows, or windows, of the keys of many windows."""
+    return rows.join(by_key.filter(F.size("_own") > FEW).select(key), key, "left_semi")
+
+
+def _met(rows: DataFrame, others: DataFrame, by: Sequence[str], how: str = "inner") -> DataFrame:
+    """A join that never broadcasts: both sides hold arrays or several rows a source row, so that their planned
+    sizes, which are of compressed files, say nothing, and a broadcast once planned is not taken back."""
+    return rows.join(others.hint("merge"), by, how)
+
+
 def covering(rows: DataFrame, windows: DataFrame, key: str, day: str) -> DataFrame:
     """Every row with every window of its key that covers its day: an inner join.
 
-    Apart from the key the two must have no column in common.  A row is sent once a width, a window once a
-    bin; the join's output is the result, whatever the number of windows of a key that do not cover the day.
+    Apart from the key the two must have no column in common.  A row meets the windows of a key of few
+    at once; for a key of many it is sent once a width, a window once a bin, and the join's output is the
+    result, whatever the number of windows of a key that do not cover the day.
     """
-    by = [key, "width", "bin"]
-    return binned_days(rows, day).join(binned_windows(windows), by).drop("width", "bin")
+    of_window = [c for c in windows.columns if c != key]
+    by_key = _by_key(windows, key, *of_window)
+    few = _met(rows, by_key.filter(F.size("_own") <= FEW), [key])
+    covers_day = F.filter("_own", lambda w: covers(F.col(day), w["valid_from"], w["valid_to"]))
+    few = few.select(key, *(c for c in rows.columns if c != key), F.inline(covers_day))
+    days, bins = binned_days(_of_many(rows, by_key, key), day), binned_windows(_of_many(windows, by_key, key))
+    return few.unionByName(_met(days, bins, [key, "width", "bin"]).drop("width", "bin"))
 
 
 def newest_covering(

@@ -118,6 +118,49 @@ def test_newest_covering_window(spark):
     assert len(got) == len(days)
 
 
+def _broadcast(df) -> list[str]:
+    """What the planned broadcasts of a query hold, as text."""
+    plan, found = [df._jdf.queryExecution().sparkPlan()], []
+    while plan:
+        node = plan.pop()
+        if node.nodeName() == "BroadcastHashJoin":
+            side = node.left() if node.buildSide().toString() == "BuildLeft" else node.right()
+            found.append(side.toString())
+        children = node.children()
+        plan.extend(children.apply(i) for i in range(children.size()))
+    return found
+
+
+def test_rows_made_of_windows_are_not_broadcast(spark, sf_dir):
+    """Planned sizes are of files; a window may be many rows, and a planned broadcast is not taken back."""
+    for name in ("rep_customer_mismatch",):
+        held = _broadcast(entry.queries()[name](spark, sf_dir))
+        assert not any("unix_date" in side for side in held), name
+
+
+def test_keys_of_few_windows(spark, monkeypatch):
+    """Keys of no, few and many windows, null keys, repeated rows: each way of meeting them gives the same."""
+    rng = random.Random(8)
+    windows = [(i, k, a, b) for i, (_, _, a, b) in enumerate(_random_windows(60, 9)) for k in (rng.choice("abcdefg"),)]
+    windows += [(100, "a", 0, None), (100, "a", 0, None), (101, "b", None, 9), (102, "b", 9, 2), (103, None, 0, None)]
+    windows += [(200 + i, "many", i, i + 3) for i in range(40)]
+    days = [(n // 2, rng.choice((*"abcdefg", "many", "none", None)), rng.choice((None, rng.randint(-50, 60)))) for n in range(400)]
+    rows = spark.createDataFrame([(n, k, _day(d)) for n, k, d in days], "n long, k string, day date")
+    pairs = sorted((n, i) for n, k, d in days for i, own, a, b in windows if k is not None and own == k and _covers(a, b, d))
+    newest = []
+    for n, k, d in days:
+        valid = [(a, 10**9 if b is None else b, i) for i, own, a, b in windows if k is not None and own == k and _covers(a, b, d)]
+        newest.append((n, max(valid)[2] if valid else None))
+    for few in (0, 1, 16, 100):
+        monkeypatch.setattr(intervals, "FEW", few)
+        got = intervals.covering(rows, _windows(spark, windows), "k", "day")
+        assert got.columns == ["k", "n", "day", "promotion_id", "valid_from", "valid_to", "rate"]
+        assert sorted(map(tuple, got.select("n", "promotion_id").collect())) == pairs, few
+        got = intervals.newest_covering(rows, _windows(spark, windows), "k", "day", ("promotion_id", "rate"))
+        assert got.columns == ["k", "day", "n", "promotion_id", "rate"]
+        assert sorted(map(tuple, got.select("n", "promotion_id").collect()), key=str) == sorted(newest, key=str), few
+
+
 def test_days_before(spark):
     for day in (date(2024, 3, 31), date(2024, 2, 29), date(2024, 1, 1), date(2023, 12, 31)):
         for n in (0, 1, 6, 12, 13):

@@ -116,16 +116,22 @@ def newest_covering(
 ) -> DataFrame:
     """``rows`` with ``values`` of the newest window of their key that covers their day, else null: a left join.
 
-    Newest is the latest ``valid_from``, then the longest, then the highest values in their order.  Windows
-    are reduced to the newest of each bin before they meet any day, so a day meets at most one window a
-    width.  The answer depends on key and day alone and is found once per distinct pair.
+    Newest is the latest ``valid_from``, then the longest, then the highest values in their order.  A row
+    meets the windows of a key of few at once.  Those of a key of many are reduced to the newest of each bin
+    before they meet any day, so a day meets at most one window a width; there the answer depends on key and
+    day alone and is found once per distinct pair.
     """
     rank = F.struct("valid_from", closed_end().alias("valid_to"), *values)
+    by_key = _by_key(windows, key, "valid_from", closed_end().alias("valid_to"), *values)
+    columns = [key, day, *(c for c in rows.columns if c not in (key, day))]
+    newest = [F.col(f"_newest.{v}").alias(v) for v in values]
+    covers_day = F.filter("_own", lambda w: covers(F.col(day), w["valid_from"], w["valid_to"]))
+    few = _met(rows, by_key, [key], "left").filter(F.coalesce(F.size("_own"), F.lit(0)) <= FEW)
+    few = few.select(*columns, F.array_max(covers_day).alias("_newest")).select(*columns, *newest)
+
     by = [key, "width", "bin"]
-    best = binned_windows(windows).groupBy(*by).agg(F.max(rank).alias("newest"))
-    asked = rows.select(key, day).distinct()
-    found = (
-        binned_days(asked, day).join(best, by).groupBy(key, day).agg(F.max("newest").alias("newest"))
-        .select(key, day, *(F.col(f"newest.{v}").alias(v) for v in values))
-    )
-    return rows.join(found, [key, day], "left")
+    best = binned_windows(_of_many(windows, by_key, key)).groupBy(*by).agg(F.max(rank).alias("_newest"))
+    of_many = _of_many(rows, by_key, key)
+    asked = of_many.select(key, day).distinct()
+    found = _met(binned_days(asked, day), best, by).groupBy(key, day).agg(F.max("_newest").alias("_newest"))
+    return few.unionByName(of_many.join(found.select(key, day, *newest), [key, day], "left").select(*columns, *values))

@@ -133,7 +133,7 @@ def _broadcast(df) -> list[str]:
 
 def test_rows_made_of_windows_are_not_broadcast(spark, sf_dir):
     """Planned sizes are of files; a window may be many rows, and a planned broadcast is not taken back."""
-    for name in ("rep_customer_mismatch",):
+    for name in ("rep_customer_mismatch", "promotion_on_line", "promotion_per_line"):
         held = _broadcast(entry.queries()[name](spark, sf_dir))
         assert not any("unix_date" in side for side in held), name
 

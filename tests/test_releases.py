@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import time
 from datetime import date, timedelta
 from pathlib import Path
 
@@ -13,7 +14,7 @@ from tallymart import ReportParams, load_star, schema
 from tallymart.operators import bitmaps
 from tallymart.plans import aggregates, joins, quality, stored, views
 from tallymart.sinks import writer
-from tallymart.sinks.releases import MONTH, ReleaseConflict, ReleaseStore
+from tallymart.sinks.releases import CLEANUP, MONTH, ReleaseConflict, ReleaseStore
 from tallymart.sources import generate
 from tallymart.sources.mart import append_to_mart, load_mart, mart_store, open_mart, replace_in_mart
 from tallymart.sources.star import Star
@@ -193,6 +194,41 @@ def test_a_reader_keeps_its_release_and_old_ones_can_be_removed(spark, whole, tm
     assert len(parts) == 2
 
 
+def _shuffle_files(spark) -> int:
+    files = spark._jsc.sc().env().blockManager().diskBlockManager().getAllFiles()
+    return sum(files.apply(i).getName().startswith("shuffle_") for i in range(files.size()))
+
+
+def test_writers_leave_no_shuffle_files(spark, whole, tmp_path):
+    """What a load and a refresh shuffled goes when each table is written, and the session's setting stays."""
+    setting, before = spark.conf.get(CLEANUP, None), _shuffle_files(spark)
+    load_mart(whole, str(tmp_path / "mart"))
+    stored.refresh(spark, str(tmp_path / "mart"), str(tmp_path / "sums"))
+    until = time.time() + 20
+    while _shuffle_files(spark) > before and time.time() < until:
+        time.sleep(0.5)
+    assert _shuffle_files(spark) <= before
+    assert spark.conf.get(CLEANUP, None) == setting
+    written = _files(tmp_path)
+    assert written and all(f.endswith(".zstd.parquet") for f in written)
+
+
+def test_one_monthly_table_is_written_at_a_time(spark, whole, tmp_path, monkeypatch):
+    at_work, most, write = set(), [], ReleaseStore._write
+
+    def watched(self, table, df):
+        at_work.add(table)
+        most.append(sum(t in self.monthly for t in at_work))
+        try:
+            return write(self, table, df)
+        finally:
+            at_work.remove(table)
+
+    monkeypatch.setattr(ReleaseStore, "_write", watched)
+    load_mart(Star({t: whole[t].limit(3) for t in schema.TABLES}), str(tmp_path))
+    assert len(most) == len(schema.TABLES) and max(most) == 1
+
+
 def test_sums_whose_release_was_removed_are_written_whole(spark, whole, tmp_path):
     mart, sums = str(tmp_path / "mart"), str(tmp_path / "sums")
     load_mart(whole, mart)

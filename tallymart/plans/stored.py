@@ -111,10 +111,33 @@ BUILD: dict[str, Callable[[ReleasedStar], DataFrame]] = {
 }
 
 
+#: Bytes of facts, as stored, whose sums are made in one pass.
+PASS = 512 * 1024 * 1024
+
+
+def _passes(mart: ReleaseStore, release: Release, months: set[str]) -> list[set[str]]:
+    """The months in groups of at most ``PASS`` bytes of facts, or of one month.
+
+    Sums of a month are made of its facts alone, so what a refresh has on disk at a time is bounded."""
+    sizes, passes, room = mart.sizes(release, *FACTS), [], 0
+    for month in sorted(months & sizes.keys()):  # a month of which all is gone has no sums
+        if not passes or sizes[month] > room:
+            passes.append(set())
+            room = PASS
+        passes[-1].add(month)
+        room -= sizes[month]
+    return passes
+
+
+def _sums(mart: ReleaseStore, release: Release, months: set[str]) -> dict[str, list[DataFrame]]:
+    stars = [ReleasedStar(mart, release, some) for some in _passes(mart, release, months)]
+    return {n: [build(star) for star in stars] for n, build in BUILD.items()}
+
+
 def refresh(spark: SparkSession, mart_path: str, path: str) -> tuple[Release, set[str]]:
     """Brings the sums under ``path`` up to the mart's current release; the release of the sums and the months written.
 
-    Only facts of the changed months are read.  All months are written the first time, and where the release
+    Only facts of the changed months are read, in passes of bounded size.  All months are written the first time, and where the release
     that the sums stand at was removed.  Nothing is written if nothing changed.
     """
     mart, sums = mart_store(spark, mart_path), stored_sums(spark, path)
@@ -126,11 +149,10 @@ def refresh(spark: SparkSession, mart_path: str, path: str) -> tuple[Release, se
         return done, set()
     notes = {"mart": now.number}
     if stands_at not in mart.numbers():
-        star = ReleasedStar(mart, now)
-        return sums.publish({n: build(star) for n, build in BUILD.items()}, notes), now.months(*FACTS)
+        every = now.months(*FACTS)
+        return sums.publish(_sums(mart, now, every), notes), every
     months = mart.changed_months(mart.release(stands_at), now, *FACTS)
-    star = ReleasedStar(mart, now, months)
-    return sums.replace_months({n: build(star) for n, build in BUILD.items()} if months else {}, months, notes), months
+    return sums.replace_months(_sums(mart, now, months) if months else {}, months, notes), months
 
 
 class StoredViews:

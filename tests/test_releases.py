@@ -194,6 +194,22 @@ def test_a_reader_keeps_its_release_and_old_ones_can_be_removed(spark, whole, tm
     assert len(parts) == 2
 
 
+def test_sums_are_made_in_passes(spark, whole, summed, tmp_path, monkeypatch):
+    """Passes of one month, or of some, give the sums of one pass."""
+    sizes = whole.store.sizes(whole.release, *stored.FACTS)
+    assert sizes.keys() == whole.release.months(*stored.FACTS) and min(sizes.values()) > 0
+    for room, most in ((1, 1), (max(sizes.values()) * 4, 9)):
+        monkeypatch.setattr(stored, "PASS", room)
+        path = str(tmp_path / str(room))
+        release, months = stored.refresh(spark, whole.store.path, path)
+        assert months == set(sizes)
+        sums, one = stored.stored_sums(spark, path), stored.stored_sums(spark, summed)
+        for table, parts in release.tables.items():
+            assert len(parts) > 1 and all(len(own) <= most for own in parts.values())
+            assert sorted(m for own in parts.values() for m in own) == sorted(sizes)
+            assert _rows(sums.read(table, release)) == _rows(one.read(table)), table
+
+
 def _shuffle_files(spark) -> int:
     files = spark._jsc.sc().env().blockManager().diskBlockManager().getAllFiles()
     return sum(files.apply(i).getName().startswith("shuffle_") for i in range(files.size()))
